@@ -14,10 +14,9 @@ from epigauge.functions.labels import location_of, region_of, severity_of
 from epigauge.functions.numeric import nan_to_null
 from epigauge.operators import classify, cleaning, clusters, distribution, features
 from epigauge.operators.latest import latest_rows
-from epigauge.operators.windows import to_full_window, window_sums, with_finality
-from epigauge.plans import serving, training
-from epigauge.plans.scoring import score_windows
-from epigauge.session import run_dir
+from epigauge.operators.windows import to_full_window, watermarked, window_sums, with_finality
+from epigauge.plans import scoring, serving, training
+from epigauge.session import materialise, run_dir
 from epigauge.sources import records, replay, streams, tables
 from epigauge.spec import BURDEN_METRICS, HEALTH, HEALTH_LABELS, METRICS, PROFILE_METRICS
 from epigauge.streaming.jobs import StreamOptions, finish, start_log, start_surveillance
@@ -314,7 +313,7 @@ def score_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def region_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = fixtures.daily_reports(spark, sf_dir).select("Region_Type")
+    daily = materialise(fixtures.daily_reports(spark, sf_dir).select("Region_Type"), "daily")
     indexed = features.index_labels(daily, "Region_Type", "region_code").transform(daily)
     return indexed.groupBy("Region_Type", "region_code").agg(F.count("*").alias("n"))
 
@@ -375,6 +374,24 @@ def pca_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's place on the first two components of all features."""
+    scaled, _ = training.scaled_features(fixtures.windows(spark, sf_dir))
+    return features.spread_vector(_on_plane(scaled), "plane", ["PCA1", "PCA2"]).select(
+        F.to_date("window_start").alias("window_start"),
+        "State",
+        F.col("Region_Index").alias("region_code"),
+        _rounded("PCA1", 5),
+        _rounded("PCA2", 5),
+    )
+
+
+def _on_plane(scaled: DataFrame) -> DataFrame:
+    plane = features.fit_components(scaled, "features", "raw_plane", k=2)
+    return features.flip(features.orientation(plane), "raw_plane", "plane").transform(plane.transform(scaled))
+
+
 @query
 def vulnerability_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _vulnerability(fixtures.windows(spark, sf_dir))
@@ -484,9 +501,7 @@ def cluster_map_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = _training_features(spark, sf_dir)
     clustered = clusters.fit_kmeans(scaled).transform(scaled)
     named = clusters.relabel_by_burden(clustered, "prediction", HEALTH.burden)
-    plane = features.fit_components(named, "features", "raw_plane", k=2)
-    placed = features.flip(features.orientation(plane), "raw_plane", "plane").transform(plane.transform(named))
-    return features.spread_vector(placed, "plane", ["PCA1", "PCA2"]).select(
+    return features.spread_vector(_on_plane(named), "plane", ["PCA1", "PCA2"]).select(
         F.to_date("window_start").alias("window_start"),
         "State",
         "Region_Index",
@@ -519,16 +534,16 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def severity_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle, window_table = _bundle(spark, sf_dir)
-    scored = score_windows(window_table, bundle)
+    scored = scoring.score_windows(window_table, bundle)
     return scored.groupBy("Severity_Level", severity_of(F.col("Severity_Level")).alias("Severity")).agg(
         F.count("*").alias("n")
     )
 
 
 @query
-def score_all_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def score_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle, window_table = _bundle(spark, sf_dir)
-    return score_windows(window_table, bundle)
+    return scoring.score_windows(window_table, bundle)
 
 
 @query
@@ -539,8 +554,8 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle.save(spark, path)
     results = ["Severity_Level", "Vulnerability_Score"]
     keys = ["window_start", *HEALTH.key_names]
-    before = score_windows(window_table, bundle).select(*keys, F.struct(*results).alias("before"))
-    after = score_windows(window_table, training.Bundle.load(spark, path)).select(
+    before = scoring.score_windows(window_table, bundle).select(*keys, F.struct(*results).alias("before"))
+    after = scoring.score_windows(window_table, training.Bundle.load(spark, path)).select(
         *keys, F.struct(*results).alias("after")
     )
     both = before.join(after, keys, "full")
@@ -560,7 +575,7 @@ def stream_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = stream.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("records"))
     base = run_dir(spark, "stream")
     log = PredictionLog(f"{base}/log", EVENTS)
-    finish([start_log(counts, log, StreamOptions(f"{base}/checkpoint", "stream-source"))])
+    finish([start_log(counts, log, StreamOptions(f"{base}/checkpoint"))])
     return latest_rows(log.read(spark), ["event_type", "day"], VERSION).drop(*VERSION)
 
 
@@ -569,10 +584,11 @@ def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows only, each emitted once."""
     path = f"{sf_dir}/events.parquet"
     stream = streams.table_stream(spark, path, spark.read.parquet(path).schema)
-    sums = window_sums(stream.withColumn(EVENTS.time, F.col("ts").cast("timestamp")), EVENTS)
+    timed = stream.withColumn(EVENTS.time, F.col("ts").cast("timestamp"))
+    sums = window_sums(watermarked(timed, EVENTS), EVENTS)
     base = run_dir(spark, "stream")
     log = PredictionLog(f"{base}/log", EVENTS)
-    finish([start_log(sums, log, StreamOptions(f"{base}/checkpoint", "stream-append"), "append")])
+    finish([start_log(sums, log, StreamOptions(f"{base}/checkpoint"), "append")])
     return log.read(spark).select(
         F.to_date("window_start").alias("window_start"), "event_type", _rounded("value", 4), "days_seen"
     )
@@ -624,7 +640,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows scored inside the stream; their last state has the score of the batch result."""
     bundle, _ = _bundle(spark, sf_dir)
-    log = _surveyed(spark, sf_dir, score=lambda sums: score_windows(sums, bundle))
+    log = _surveyed(spark, sf_dir, score=lambda sums: scoring.score_windows(sums, bundle))
     return log.windows(spark).select(
         F.to_date("window_start").alias("window_start"), "State", "Region_Index", _rounded("Vulnerability_Score", 5)
     )

@@ -76,19 +76,31 @@ scaled AS (
        {each("CASE WHEN sd_{i} = 0 THEN 0.0 ELSE (p.{m} - mu_{i}) / sd_{i} END AS z_{i}", FEATURES)}
   FROM predictions p, moments)"""
 
-_B = len(BURDEN_METRICS)
-_CORR = ", ".join("[" + ", ".join(f"corr({a}, {b})" for b in BURDEN_METRICS) + "]" for a in BURDEN_METRICS)
-# The matrix is squared again and again, which leaves its leading eigenvector; its row sums are
-# that eigenvector times the sum of its elements, so their sum is never negative.
-COMPONENT = f"""{WINDOWS}, matrix AS (SELECT [{_CORR}] AS m FROM windows),
-squares(step, m) AS (
-  SELECT 0, m FROM matrix
+
+
+def _leading(matrix: str, name: str, size: int, steps: int = 16) -> str:
+    """CTEs giving ``name.w``, the leading eigenvector of the one-row matrix table ``matrix.m``.
+
+    The matrix is squared again and again, which leaves its leading eigenvector; the row sums are
+    that eigenvector times the sum of its elements, so their sum is never negative.
+    """
+    ids = f"range(1, {size + 1})"
+    return f"""{name}_squares(step, m) AS (
+  SELECT 0, m FROM {matrix}
   UNION ALL
-  SELECT step + 1, [[x / list_sum([p[k][k] for k in range(1, {_B + 1})]) for x in r] for r in p]
-  FROM (SELECT step, [[list_sum([r[k] * q[k] for k in range(1, {_B + 1})]) for q in m] for r in m] AS p
-        FROM squares WHERE step < 16)),
-direction AS (SELECT [list_sum(r) for r in m] AS v FROM squares WHERE step = 16),
-component AS (SELECT [x / sqrt(list_sum([y * y for y in v])) for x in v] AS w FROM direction),
+  SELECT step + 1, [[x / list_sum([p[k][k] for k in {ids}]) for x in r] for r in p]
+  FROM (SELECT step, [[list_sum([r[k] * q[k] for k in {ids}]) for q in m] for r in m] AS p
+        FROM {name}_squares WHERE step < {steps})),
+{name}_sums AS (SELECT [list_sum(r) for r in m] AS v FROM {name}_squares WHERE step = {steps}),
+{name} AS (SELECT [x / sqrt(list_sum([y * y for y in v])) for x in v] AS w FROM {name}_sums)"""
+
+
+def _corr(names) -> str:
+    return ", ".join("[" + ", ".join(f"corr({a}, {b})" for b in names) + "]" for a in names)
+
+
+COMPONENT = f"""{WINDOWS}, matrix AS (SELECT [{_corr(BURDEN_METRICS)}] AS m FROM windows),
+{_leading("matrix", "component", len(BURDEN_METRICS))},
 burden_moments AS (
   SELECT {each("avg({m}) AS mu_{i}, stddev_samp({m}) AS sd_{i}", BURDEN_METRICS)} FROM windows),
 projected AS (
@@ -101,6 +113,14 @@ vulnerability AS (
   FROM projected, pc_range)"""
 
 _N = len(FEATURES)
+_IDS = f"range(1, {_N + 1})"
+PLANE = f"""{SCALED}, matrix AS (SELECT [{_corr([f"z_{i}" for i in range(_N)])}] AS m FROM scaled),
+{_leading("matrix", "first", _N)},
+strength AS (
+  SELECT m, w, list_sum([w[i] * list_sum([m[i][j] * w[j] for j in {_IDS}]) for i in {_IDS}]) AS s FROM matrix, first),
+rest AS (SELECT [[m[i][j] - s * w[i] * w[j] for j in {_IDS}] for i in {_IDS}] AS m FROM strength),
+{_leading("rest", "second", _N)}"""
+
 _CENTRE_AVG = each("avg(z_{i}) AS c_{i}", FEATURES)
 ASSIGNED = f"""{SCALED}, centres AS (
   SELECT Severity_Level AS cluster, {_CENTRE_AVG} FROM scaled GROUP BY Severity_Level),
@@ -249,9 +269,9 @@ _ORACLES = {
           SELECT min(Vulnerability_Score) AS low, max(Vulnerability_Score) AS high, count(*)::DOUBLE AS n,
                  stddev_samp(Vulnerability_Score) * pow(count(*)::DOUBLE, -0.2) AS h
           FROM predictions),
-        grid AS (SELECT g.point, low + g.point * ((high - low) / 199) AS at FROM range(200) AS g(point), stats)
-        SELECT point::INTEGER AS point, round(at, 6) AS at,
-               round(sum(exp(-0.5 * ((at - Vulnerability_Score) / h) * ((at - Vulnerability_Score) / h))
+        grid AS (SELECT g.point, low + g.point * ((high - low) / 199) AS x FROM range(200) AS g(point), stats)
+        SELECT point::INTEGER AS point, round(x, 6) AS "at",
+               round(sum(exp(-0.5 * ((x - Vulnerability_Score) / h) * ((x - Vulnerability_Score) / h))
                    / (n * h * sqrt(2 * pi()))), 8) AS density
         FROM predictions, stats, grid GROUP BY ALL""",
     # features and models
@@ -263,15 +283,20 @@ _ORACLES = {
     "minmax_score": f"""WITH {PREDICTIONS}
         SELECT window_start, State, Region_Index, round(1 + (burden - low) / (high - low) * 99, 6) AS scaled_burden
         FROM predictions, spread""",
-    "pca_loading": f"""WITH {COMPONENT}
+    "pca_loading": f"""WITH RECURSIVE {COMPONENT}
         SELECT unnest([{", ".join(f"'{m}'" for m in BURDEN_METRICS)}]) AS metric,
                unnest([round(x, 6) for x in w]) AS loading
         FROM component""",
-    "pca_score": f"""WITH {COMPONENT}
+    "pca_score": f"""WITH RECURSIVE {COMPONENT}
         SELECT window_start, State, Region_Index, round(pc1, 5) + 0.0 AS pc1 FROM projected""",
-    "vulnerability_score": f"""WITH {COMPONENT}
+    "pca_2d": f"""WITH RECURSIVE {PLANE}
+        SELECT window_start, State, region_code,
+               round({" + ".join(f"z_{i} * first.w[{i + 1}]" for i in range(_N))}, 5) + 0.0 AS PCA1,
+               round({" + ".join(f"z_{i} * second.w[{i + 1}]" for i in range(_N))}, 5) + 0.0 AS PCA2
+        FROM scaled, first, second""",
+    "vulnerability_score": f"""WITH RECURSIVE {COMPONENT}
         SELECT window_start, State, Region_Index, round(score, 5) AS Vulnerability_Score FROM vulnerability""",
-    "vulnerability_top10": f"""WITH {COMPONENT}, newest AS (
+    "vulnerability_top10": f"""WITH RECURSIVE {COMPONENT}, newest AS (
           SELECT * FROM vulnerability
           QUALIFY row_number() OVER (PARTITION BY State, Region_Index ORDER BY window_start DESC) = 1)
         SELECT State || ' (' || {REGION} || ')' AS Location, round(score, 5) AS Vulnerability_Score
@@ -294,7 +319,7 @@ _ORACLES = {
         ranks AS (
           SELECT cluster, (row_number() OVER (ORDER BY avg(burden), cluster) - 1)::INTEGER AS severity
           FROM ided GROUP BY cluster)
-        SELECT window_start, State, Region_Index, severity FROM ided JOIN ranks USING (cluster)""",
+        SELECT window_start, State, Region_Index, ranks.severity FROM ided JOIN ranks USING (cluster)""",
     "confusion_matrix": f"""WITH {PREDICTIONS}
         SELECT Severity_Level AS label, Predicted_Level AS prediction, count(*) AS n FROM predictions GROUP BY ALL""",
     "classifier_metrics": f"""WITH {PREDICTIONS}, classes AS (SELECT unnest([0, 1, 2]) AS c),
@@ -328,7 +353,7 @@ _ORACLES = {
         SELECT CASE event_id % 20 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'bad_time' ELSE 'missing_key' END AS reject_reason,
                count(*) AS records
         FROM events WHERE event_id % 20 < 3 GROUP BY 1""",
-    "stream_scored": f"""WITH {COMPONENT}
+    "stream_scored": f"""WITH RECURSIVE {COMPONENT}
         SELECT window_start, State, Region_Index, round(score, 5) AS Vulnerability_Score FROM vulnerability""",
     # models: what can be said without the fitted trees
     "model_roundtrip": f"""WITH {WINDOWS}

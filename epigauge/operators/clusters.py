@@ -7,12 +7,14 @@ subquery (one array of structs), so no join and no collect is needed.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from epigauge.functions.numeric import total
+from epigauge.session import at_once
 from epigauge.spec import PROFILE_METRICS
 
 
@@ -21,13 +23,16 @@ def fit_kmeans(df: DataFrame, k: int = 3, seed: int = 42, vector: str = "feature
 
 
 def sweep_k(df: DataFrame, ks: Iterable[int] = range(2, 8), seed: int = 42, vector: str = "features") -> DataFrame:
-    """Cost and silhouette per k. Persist ``df`` before: it is read many times."""
-    judge = ClusteringEvaluator(featuresCol=vector)
-    rows = []
-    for k in ks:
+    """Cost and silhouette per k, the ks side by side. Persist ``df`` before: it is read many times."""
+    spark = df.sparkSession
+
+    def measure(k: int) -> tuple[int, float, float]:
         model = fit_kmeans(df, k, seed, vector)
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(df)))))
-    return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
+        judged = ClusteringEvaluator(featuresCol=vector).evaluate(model.transform(df))
+        return k, float(model.summary.trainingCost), float(judged)
+
+    rows = at_once(spark, [partial(measure, k) for k in ks])
+    return spark.createDataFrame(rows, "k int, cost double, silhouette double")
 
 
 def _squared_distance(a: Column, b: Column) -> Column:

@@ -8,8 +8,13 @@ from epigauge.functions.numeric import day_bit
 from epigauge.spec import IndicatorSpec
 
 
+def watermarked(reports: DataFrame, spec: IndicatorSpec) -> DataFrame:
+    """Declare how late a report may come; to be called once, on a stream."""
+    return reports.withWatermark(spec.time, spec.lateness)
+
+
 def window_sums(reports: DataFrame, spec: IndicatorSpec, missing_counts: bool = False) -> DataFrame:
-    """Sum every metric by window and key.
+    """Sum every metric by window and key; a stream must be watermarked before.
 
     Windows start at multiples of their length from 1970-01-01 UTC. Besides the sums a row carries
     ``days_seen`` (distinct days that reported) and ``last_report``; with ``missing_counts`` also
@@ -19,15 +24,12 @@ def window_sums(reports: DataFrame, spec: IndicatorSpec, missing_counts: bool =
     time = F.col(spec.time)
     sums = [F.sum(m).alias(m) for m in spec.metrics]
     holes = [F.count_if(F.col(m).isNull()).alias(f"{m}_missing") for m in spec.metrics if missing_counts]
-    grouped = (
-        reports.withWatermark(spec.time, spec.lateness)
-        .groupBy(F.window(time, f"{spec.window_days} days").alias("window"), *spec.key_names)
-        .agg(
-            *sums,
-            *holes,
-            F.bit_or(day_bit(time, spec.window_days)).alias("day_bits"),
-            F.max(time).alias("last_report"),
-        )
+    window = F.window(time, f"{spec.window_days} days").alias("window")
+    grouped = reports.groupBy(window, *spec.key_names).agg(
+        *sums,
+        *holes,
+        F.bit_or(day_bit(time, spec.window_days)).alias("day_bits"),
+        F.max(time).alias("last_report"),
     )
     return grouped.select(
         F.col("window.start").alias("window_start"),

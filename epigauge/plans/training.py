@@ -27,7 +27,7 @@ from epigauge.operators.features import (
     loadings,
     orientation,
 )
-from epigauge.session import materialise
+from epigauge.session import at_once, materialise
 from epigauge.spec import HEALTH, REGION_LABELS, IndicatorSpec
 
 ROWS_PER_TASK = 20_000
@@ -117,6 +117,29 @@ def train(
     The input is written once as a table, since the fits pass over it many times.
     """
     table = materialise(windows, "training")
+    severity, vulnerability = at_once(
+        table.sparkSession,
+        [
+            lambda: _fit_severity(table, spec, k, seed, trees, depth),
+            lambda: fit_vulnerability(table, spec, keep_sign=legacy_invert),
+        ],
+    )
+    stages, kmeans, facts = severity
+    facts |= vulnerability[1]
+    facts |= {
+        "fit_id": uuid.uuid4().hex,
+        "region_labels": {str(code): label for code, label in region_labels.items()},
+        "features": spec.features,
+        "burden": list(spec.burden),
+        "legacy_invert": legacy_invert,
+    }
+    return Bundle(PipelineModel([*stages, *vulnerability[0]]), kmeans, facts)
+
+
+def _fit_severity(
+    table: DataFrame, spec: IndicatorSpec, k: int, seed: int, trees: int, depth: int
+) -> tuple[list, KMeansModel, dict]:
+    """Clusters ordered by burden as labels, and a forest that predicts them from the features."""
     features, scaler = scaled_features(stable_layout(table, spec), spec)
     features = features.persist()
     try:
@@ -124,29 +147,24 @@ def train(
         clustered = kmeans.transform(features)
         ranks = {r.prediction: r.severity for r in severity_ranks(clustered, "prediction", spec.burden).collect()}
         labels = F.array(*[F.lit(float(ranks.get(c, 0))) for c in range(k)])
-        labelled = clustered.withColumn("label", labels[F.col("prediction")]).drop("prediction")
         order = [F.col(c).cast("string") for c in ("window_start", *spec.key_names) if c in table.columns]
-        labelled = labelled.withColumn("is_train", split_bucket(order) < TRAIN_SHARE)
+        labelled = (
+            clustered.withColumn("label", labels[F.col("prediction")])
+            .drop("prediction")
+            .withColumn("is_train", split_bucket(order) < TRAIN_SHARE)
+        )
         forest = RandomForestClassifier(
             featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
         ).fit(labelled.where("is_train"))
-        held_out = forest.transform(labelled.where("NOT is_train"))
-        scores = quality(confusion(held_out)).first()
-        vulnerability, facts = fit_vulnerability(table, spec, keep_sign=legacy_invert)
+        held_out = quality(confusion(forest.transform(labelled.where("NOT is_train")))).first()
     finally:
         features.unpersist()
-    severity = [assembler(spec.features, "raw_features", "skip"), scaler, forest]
-    facts |= {
-        "fit_id": uuid.uuid4().hex,
+    facts = {
         "severity_of_cluster": {str(c): int(s) for c, s in ranks.items()},
-        "region_labels": {str(code): label for code, label in region_labels.items()},
-        "features": spec.features,
-        "burden": list(spec.burden),
-        "legacy_invert": legacy_invert,
         "cost": float(kmeans.summary.trainingCost),
-        "held_out": scores.asDict(),
+        "held_out": held_out.asDict(),
     }
-    return Bundle(PipelineModel([*severity, *vulnerability]), kmeans, facts)
+    return [assembler(spec.features, "raw_features", "skip"), scaler, forest], kmeans, facts
 
 
 def feature_importance(bundle: Bundle, spark: SparkSession) -> DataFrame:

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
 
 def build_session(name: str = "epigauge", **options: str) -> SparkSession:
     """A session with the settings the package relies on; the caller's options win."""
@@ -53,6 +59,12 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def at_once(spark: SparkSession, works: Sequence[Callable[[], R]], limit: int = 8) -> list[R]:
+    """Run independent driver-side steps (fits, each many small jobs) side by side, results in order."""
+    with ThreadPoolExecutor(max_workers=min(limit, len(works))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(work)) for work in works]]
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once as a shared Parquet table and read it back.
 

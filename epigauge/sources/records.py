@@ -66,7 +66,7 @@ def drop_redelivered(reports: DataFrame, spec: IndicatorSpec) -> DataFrame:
 
     Copies are first dropped inside each Arrow batch, where they arrive, so that a report sent a
     great many times does not send all its copies to one task; the shuffle then sees a few copies
-    per task. On a stream the watermark bounds what has to be remembered.
+    per task. A stream must be watermarked: that bounds what has to be remembered.
     """
     identity = [spec.time, *spec.key_names]
 
@@ -76,5 +76,5 @@ def drop_redelivered(reports: DataFrame, spec: IndicatorSpec) -> DataFrame:
 
     thinned = reports.mapInPandas(thin, reports.schema)
     if reports.isStreaming:
-        return thinned.withWatermark(spec.time, spec.lateness).dropDuplicatesWithinWatermark(identity)
+        return thinned.dropDuplicatesWithinWatermark(identity)
     return thinned.dropDuplicates(identity)

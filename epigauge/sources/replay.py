@@ -32,6 +32,7 @@ def replay(messages: DataFrame, tick: Column, path: str) -> Iterator:
         .parquet(staged)
     )
     parts = spark.read.parquet(staged)
-    for one in sorted(row.tick for row in parts.select("tick").distinct().toLocalIterator()):
-        parts.where(F.col("tick") == F.lit(one)).select("value").write.mode("append").text(path)
+    ticks = [row.tick for row in parts.select("tick").distinct().toLocalIterator()]
+    for one in sorted(ticks, key=lambda t: (t is not None, t)):
+        parts.where(F.col("tick").eqNullSafe(F.lit(one))).select("value").write.mode("append").text(path)
         yield one

@@ -8,24 +8,31 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from epigauge.operators.windows import window_sums
+from epigauge.operators.windows import watermarked, window_sums
 from epigauge.sources.records import accepted, decode, drop_redelivered, rejected
 from epigauge.spec import HEALTH, IndicatorSpec
 from epigauge.streaming.log import PredictionLog
 
+ROWS_PER_FILE = 500_000
+
 
 @dataclass(frozen=True)
 class StreamOptions:
     """``every`` is a processing interval; None works off what is there and stops."""
 
     checkpoint: str
-    name: str
+    name: str | None = None
     every: str | None = None
 
-    def trigger(self) -> dict:
-        return {"processingTime": self.every} if self.every else {"availableNow": True}
+    def start(self, writer: DataStreamWriter) -> StreamingQuery:
+        writer = writer.option("checkpointLocation", self.checkpoint)
+        if self.name:
+            writer = writer.queryName(self.name)
+        if self.every:
+            return writer.trigger(processingTime=self.every).start()
+        return writer.trigger(availableNow=True).start()
 
 
 def run_id_of(spark: SparkSession, checkpoint: str) -> int:
@@ -52,41 +59,26 @@ def start_log(
 ) -> StreamingQuery:
     """Write a stream's changed rows to the log, one folder per micro-batch.
 
-    An empty batch (one follows each move of the watermark) writes nothing. Errors end the query;
-    on restart the batch is written again in place.
+    An empty batch (one follows each move of the watermark) writes nothing, others as few files as
+    their rows need. Errors end the query; on restart the batch is written again in place.
     """
     run_id = run_id_of(rows.sparkSession, options.checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            if not batch.isEmpty():
-                log.append(batch, run_id, batch_id)
+            changed = batch.count()
+            if changed:
+                log.append(batch.coalesce(1 + changed // ROWS_PER_FILE), run_id, batch_id)
         finally:
             batch.unpersist()
 
-    return (
-        rows.writeStream.outputMode(output_mode)
-        .foreachBatch(write)
-        .queryName(options.name)
-        .option("checkpointLocation", options.checkpoint)
-        .trigger(**options.trigger())
-        .start()
-    )
+    return options.start(rows.writeStream.outputMode(output_mode).foreachBatch(write))
 
 
 def start_quarantine(decoded: DataFrame, path: str, options: StreamOptions) -> StreamingQuery:
     """Append the records that cannot be used, with the reason, to a Parquet folder."""
-    return (
-        rejected(decoded)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .queryName(options.name)
-        .option("checkpointLocation", options.checkpoint)
-        .trigger(**options.trigger())
-        .start()
-    )
+    return options.start(rejected(decoded).writeStream.outputMode("append").format("parquet").option("path", path))
 
 
 def start_surveillance(
@@ -99,6 +91,7 @@ def start_surveillance(
     every: str | None = None,
     once_per_report: bool = False,
     output_mode: str = "update",
+    name: str | None = None,
 ) -> list[StreamingQuery]:
     """The whole stream: decode, set bad records aside, sum by window, score, log.
 
@@ -107,14 +100,17 @@ def start_surveillance(
     on a checkpoint.
     """
     decoded = decode(records, spec)
-    reports = accepted(decoded)
+    reports = watermarked(accepted(decoded), spec)
     if once_per_report:
         reports = drop_redelivered(reports, spec)
     windows = window_sums(reports, spec)
     rows = score(windows) if score else windows
+    def options(part: str) -> StreamOptions:
+        return StreamOptions(f"{checkpoint}/{part}", f"{name}-{part}" if name else None, every)
+
     return [
-        start_log(rows, log, StreamOptions(f"{checkpoint}/log", "prediction-log", every), output_mode),
-        start_quarantine(decoded, quarantine_path, StreamOptions(f"{checkpoint}/quarantine", "quarantine", every)),
+        start_log(rows, log, options("log"), output_mode),
+        start_quarantine(decoded, quarantine_path, options("quarantine")),
     ]
 
 
