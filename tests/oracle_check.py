@@ -26,6 +26,17 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Spark type name -> DuckDB type name
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -49,6 +60,10 @@ def compare(spark, connection, name: str, sf_dir: str) -> str | None:
     want = cursor.fetchall()
     if sorted(columns) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
+    expected = {d[0]: str(d[1]) for d in cursor.description}
+    other = [(c, t, expected[c]) for c, t in frame.dtypes if TYPES.get(t) != expected[c]]
+    if other:
+        return f"types {other}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     left, right = _rows(frame.columns, got), _rows(columns, want)
