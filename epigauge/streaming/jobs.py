@@ -55,11 +55,16 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> int:
 
 
 def start_log(
-    rows: DataFrame, log: PredictionLog, options: StreamOptions, output_mode: str = "update"
+    rows: DataFrame,
+    log: PredictionLog,
+    options: StreamOptions,
+    output_mode: str = "update",
+    score: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Write a stream's changed rows to the log, one folder per micro-batch.
+    """Write a stream's changed rows, scored, to the log, one folder per micro-batch.
 
-    An empty batch (one follows each move of the watermark) writes nothing, others as few files as
+    Scoring comes after the stateful step, so what is kept in the checkpoint does not depend on the
+    model and a new one can be used from the next start. The changed rows are computed once. An empty batch (one follows each move of the watermark) writes nothing, others as few files as
     their rows need. Errors end the query; on restart the batch is written again in place.
     """
     run_id = run_id_of(rows.sparkSession, options.checkpoint)
@@ -69,7 +74,8 @@ def start_log(
         try:
             changed = batch.count()
             if changed:
-                log.append(batch.coalesce(1 + changed // ROWS_PER_FILE), run_id, batch_id)
+                few = batch.coalesce(1 + changed // ROWS_PER_FILE)
+                log.append(score(few) if score else few, run_id, batch_id)
         finally:
             batch.unpersist()
 
@@ -103,13 +109,12 @@ def start_surveillance(
     reports = watermarked(accepted(decoded), spec)
     if once_per_report:
         reports = drop_redelivered(reports, spec)
-    windows = window_sums(reports, spec)
-    rows = score(windows) if score else windows
+
     def options(part: str) -> StreamOptions:
         return StreamOptions(f"{checkpoint}/{part}", f"{name}-{part}" if name else None, every)
 
     return [
-        start_log(rows, log, options("log"), output_mode),
+        start_log(window_sums(reports, spec), log, options("log"), output_mode, score),
         start_quarantine(decoded, quarantine_path, options("quarantine")),
     ]
 
