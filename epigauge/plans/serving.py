@@ -10,11 +10,13 @@ from epigauge.operators.ranking import rank_descending
 from epigauge.sources.tables import require_columns
 
 NEEDS = ("State", "Month_Ending", "Severity_Level", "Vulnerability_Score", "Location")
+SHOWN = ("State", "Region_Index", "Month_Ending", "Severity_Level", "Vulnerability_Score", "Region", "Location")
 HIGH = "High Risk"
 
 
-def latest_predictions(predictions: DataFrame, keys=("State", "Region_Index"), order=("Month_Ending",)) -> DataFrame:
-    return latest_rows(predictions, keys, order)
+def latest_predictions(predictions: DataFrame) -> DataFrame:
+    """The newest prediction per location; only the columns a dashboard shows are read and shuffled."""
+    return latest_rows(predictions.select(*SHOWN), ("State", "Region_Index"), ("Month_Ending",))
 
 
 def with_severity(predictions: DataFrame) -> DataFrame:

@@ -32,14 +32,25 @@ def decode(raw: DataFrame, spec: IndicatorSpec, value: str = "value") -> DataFra
     that does not parse is null too, and the record is kept.
     """
     schema = spec.record_schema()
-    text = F.col(value).cast("string")
-    fields = raw.select(text.alias("raw"), F.from_json(text, schema).alias("data")).select("raw", "data.*")
+    text = raw.select(F.col(value).cast("string").alias("raw"))
+    fields = _computed_once(text, F.from_json("raw", schema))
+    time = event_time(F.col(spec.time_text), spec.time_format)
+    timed = _computed_once(fields, F.struct(time.alias(spec.time)))
     doubles = {f.name for f in schema if f.dataType.typeName() == "double"}
-    cleaned = fields.select(
+    return timed.select(
         "raw",
         *[nan_to_null(n).alias(n) if n in doubles else F.col(n) for n in schema.fieldNames()],
-    ).withColumn(spec.time, event_time(F.col(spec.time_text), spec.time_format))
-    return cleaned.withColumn("reject_reason", _reject_reason(spec))
+        spec.time,
+    ).withColumn("reject_reason", _reject_reason(spec))
+
+
+def _computed_once(df: DataFrame, fields: Column) -> DataFrame:
+    """Add the fields of a struct that is dear to compute.
+
+    A filter on a plain column is moved below it and would compute it a second time; it is not
+    moved below ``inline``.
+    """
+    return df.select("*", F.inline(F.array(fields)))
 
 
 def _reject_reason(spec: IndicatorSpec) -> Column:

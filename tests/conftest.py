@@ -14,7 +14,7 @@ from epigauge.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"},
+        **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
