@@ -17,6 +17,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from epigauge.operators.classify import confusion, quality, split_bucket
+from epigauge.operators.cleaning import keep_nonzero, numeric_columns
 from epigauge.operators.clusters import fit_kmeans, severity_ranks
 from epigauge.operators.features import (
     assembler,
@@ -24,6 +25,7 @@ from epigauge.operators.features import (
     fit_minmax,
     fit_zscore,
     flip,
+    index_labels,
     loadings,
     orientation,
 )
@@ -62,15 +64,24 @@ class Bundle:
         return cls(PipelineModel.load(f"{path}/model"), KMeansModel.load(f"{path}/kmeans"), json.loads(text))
 
 
+def row_key(df: DataFrame, spec: IndicatorSpec) -> list[str]:
+    """What tells rows apart: window and key, or keys and values in a table without windows."""
+    if "window_start" in df.columns:
+        return ["window_start", *spec.key_names]
+    return [*spec.key_names, *spec.metrics]
+
+
 def stable_layout(df: DataFrame, spec: IndicatorSpec) -> DataFrame:
-    """Rows by key hash into a number of partitions that follows from the row count alone.
+    """Sorted rows in a number of partitions that follows from the row count alone.
 
-    Fits that sample per partition (k-means start, forest bags) then see the same rows in the same
-    places on any cluster. One row per window and key, so the hash spreads evenly.
+    Windows go by the hash of their key, of which there is one row each. Fits that sample per
+    partition (k-means start, forest bags) then see the same rows in the same places on any
+    cluster. A table without windows may hold many copies of a row: it is dealt out evenly.
     """
-    order = [c for c in ("window_start", *spec.key_names) if c in df.columns]
+    order = row_key(df, spec)
     tasks = 1 + df.count() // ROWS_PER_TASK
-    return df.repartition(tasks, *order).sortWithinPartitions(*order)
+    spread = df.repartition(tasks, *order) if "window_start" in order else df.repartition(tasks)
+    return spread.sortWithinPartitions(*order)
 
 
 def scaled_features(windows: DataFrame, spec: IndicatorSpec = HEALTH) -> tuple[DataFrame, object]:
@@ -136,6 +147,20 @@ def train(
     return Bundle(PipelineModel([*stages, *vulnerability[0]]), kmeans, facts)
 
 
+def train_on_history(
+    history: DataFrame, spec: IndicatorSpec = HEALTH, region: str = "Region_Type", **options
+) -> Bundle:
+    """Train on a raw monthly table: all-zero rows are dropped and the region names are indexed.
+
+    The bundle keeps the names, so that scoring shows the region a code was given in training.
+    """
+    numeric = numeric_columns(history, exclude=spec.key_names)
+    cleaned = materialise(keep_nonzero(history, numeric), "history")
+    indexer = index_labels(cleaned, region, "Region_Index")
+    labels = {float(code): name for code, name in enumerate(indexer.labels)}
+    return train(indexer.transform(cleaned), spec, region_labels=labels, **options)
+
+
 def _fit_severity(
     table: DataFrame, spec: IndicatorSpec, k: int, seed: int, trees: int, depth: int
 ) -> tuple[list, KMeansModel, dict]:
@@ -147,7 +172,7 @@ def _fit_severity(
         clustered = kmeans.transform(features)
         ranks = {r.prediction: r.severity for r in severity_ranks(clustered, "prediction", spec.burden).collect()}
         labels = F.array(*[F.lit(float(ranks.get(c, 0))) for c in range(k)])
-        order = [F.col(c).cast("string") for c in ("window_start", *spec.key_names) if c in table.columns]
+        order = [F.col(c).cast("string") for c in row_key(table, spec)]
         labelled = (
             clustered.withColumn("label", labels[F.col("prediction")])
             .drop("prediction")

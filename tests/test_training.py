@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epigauge.plans.scoring import score_windows
-from epigauge.plans.training import Bundle, feature_importance, stable_layout, train
+from epigauge.plans.training import Bundle, feature_importance, stable_layout, train, train_on_history
 from epigauge.spec import IndicatorSpec
 
 SPEC = IndicatorSpec(metrics=("births", "cases", "deaths"), burden=("cases", "deaths"))
@@ -99,6 +99,18 @@ def test_training_is_repeatable_under_another_partitioning(windows, bundle, rows
     assert again.forest.featureImportances.toArray() == pytest.approx(bundle.forest.featureImportances.toArray())
 
 
+def test_history_is_cleaned_and_its_region_names_are_kept(spark, windows):
+    region = F.when(F.col("Region_Index") == 1, "Urban").when(F.col("State") < "S400", "Rural").otherwise("Urban")
+    months = windows.drop("Region_Index", "window_start", "window_end", "truth", "days_seen")
+    history = windows.select("State", region.alias("Region_Type"), *SPEC.metrics)
+    empty = months.select("State", F.lit("Rural").alias("Region_Type"), *[F.lit(0.0).alias(m) for m in SPEC.metrics])
+    copies = history.where("Region_Type = 'Urban'").limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("n")
+    bundle = train_on_history(history.union(empty).union(copies), SPEC, trees=5)
+    assert bundle.region_labels == {0.0: "Urban", 1.0: "Rural"}
+    assert bundle.facts["held_out"]["rows"] > 100
+    assert score_windows(windows.limit(1), bundle, SPEC).first().Region == "Urban"
+
+
 def test_layout_depends_on_the_row_count_only(windows):
     assert stable_layout(windows, SPEC).rdd.getNumPartitions() == 1
 
