@@ -43,10 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without the setting: it then gets a folder of its own.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.getCheckpointDir() is None:

@@ -68,6 +68,9 @@ class PredictionLog:
         if len(versions) < 2:
             return False
         newest, upto = versions
+        snapshot = self._newest_snapshot(spark)
+        if snapshot and (upto.run_id, upto.batch_id) <= (snapshot.run_id, snapshot.batch_id):
+            return False
         path = f"{self.root}/snapshots/{upto.run_id}-{upto.batch_id}"
         done = rows.where((F.col("run_id") != newest.run_id) | (F.col("batch_id") != newest.batch_id))
         keys = ["window_start", "window_end", *self.spec.key_names]

@@ -36,6 +36,7 @@ def some(spark):
 
 def test_kpis(some):
     assert serving.kpi_summary(some).first() == (4, 2, 90.13, DAY)
+    assert serving.kpi_summary(some, exact=False).first() == (4, 2, 90.13, DAY)
 
 
 def test_alert_lists_locations_by_name(some):

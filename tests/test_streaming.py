@@ -146,6 +146,8 @@ def test_compaction_changes_no_view(spark, feed, rows):
     before = views()
     assert log.compact(spark)
     assert views() == before
+    assert not log.compact(spark)
+    assert views() == before
     assert len(os.listdir(f"{feed.folder}/log/snapshots")) == 1
     feed.send(report("06-02-2024", 1000, "B"))
     feed.run()
