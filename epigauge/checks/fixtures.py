@@ -97,20 +97,25 @@ def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_rule_predictions(window_table: DataFrame) -> DataFrame:
     """Severity and score by rule, so that what follows has an exact answer without a fitted model.
 
-    The score is the burden on 1..100; the severity compares it with the mean burden. About one
-    row in seven has a wrong ``Predicted_Level``, for the classifier metrics.
+    The score is the burden on 1..100; the severity compares the burden per reported day with its
+    mean, so that a partly reported window is graded fairly. About one row in seven has a wrong
+    ``Predicted_Level``, for the classifier metrics.
     """
     burden = window_table.withColumn("burden", total(HEALTH.burden))
     spread = burden.agg(
-        F.struct(F.min("burden").alias("low"), F.max("burden").alias("high"), F.avg("burden").alias("mean"))
+        F.struct(
+            F.min("burden").alias("low"),
+            F.max("burden").alias("high"),
+            (F.sum("burden") / F.sum("days_seen")).alias("daily"),
+        )
     ).scalar()
     region = region_of(F.col("Region_Index"))
     scored = burden.withColumn("s", spread).withColumns(
         {
             "Vulnerability_Score": F.lit(1.0)
             + F.lit(99.0) * (F.col("burden") - F.col("s.low")) / (F.col("s.high") - F.col("s.low")),
-            "Severity_Level": F.when(F.col("burden") > F.col("s.mean") * 1.2, F.lit(2))
-            .when(F.col("burden") < F.col("s.mean") * 0.8, F.lit(0))
+            "Severity_Level": F.when(F.col("burden") > F.col("s.daily") * 1.05 * F.col("days_seen"), F.lit(2))
+            .when(F.col("burden") < F.col("s.daily") * 0.95 * F.col("days_seen"), F.lit(0))
             .otherwise(F.lit(1)),
         }
     )

@@ -52,11 +52,13 @@ WINDOWS = f"""{DAILY}, windows AS (
   FROM daily GROUP BY ALL)"""
 
 PREDICTIONS = f"""{WINDOWS}, burdens AS (SELECT *, {BURDEN} AS burden FROM windows),
-spread AS (SELECT min(burden) AS low, max(burden) AS high, avg(burden) AS mean FROM burdens),
+spread AS (SELECT min(burden) AS low, max(burden) AS high, sum(burden) / sum(days_seen)::BIGINT AS daily
+  FROM burdens),
 graded AS (
   SELECT burdens.*, window_end AS Month_Ending,
        1.0::DOUBLE + 99.0::DOUBLE * (burden - low) / (high - low) AS Vulnerability_Score,
-       CASE WHEN burden > mean * 1.2::DOUBLE THEN 2 WHEN burden < mean * 0.8::DOUBLE THEN 0 ELSE 1 END
+       CASE WHEN burden > daily * 1.05::DOUBLE * days_seen THEN 2
+            WHEN burden < daily * 0.95::DOUBLE * days_seen THEN 0 ELSE 1 END
          AS Severity_Level,
        {REGION} AS Region
   FROM burdens, spread),
