@@ -20,13 +20,29 @@ ROWS_PER_FILE = 500_000
 
 @dataclass(frozen=True)
 class StreamOptions:
-    """``every`` is a processing interval; None works off what is there and stops."""
+    """``every`` is a processing interval; None works off what is there and stops.
+
+    ``state_partitions`` counts at the first start on a checkpoint, which keeps it. None takes one
+    per core, at most ``spark.sql.shuffle.partitions``: each costs a commit per micro-batch, and the
+    state of windowed sums is small.
+    """
 
     checkpoint: str
     name: str | None = None
     every: str | None = None
+    state_partitions: int | None = None
+
+    def start(self, spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+        key = "spark.sql.shuffle.partitions"
+        general = spark.conf.get(key)
+        wanted = self.state_partitions or min(int(general), spark.sparkContext.defaultParallelism)
+        spark.conf.set(key, wanted)
+        try:
+            return self._start(writer)
+        finally:
+            spark.conf.set(key, general)
 
-    def start(self, writer: DataStreamWriter) -> StreamingQuery:
+    def _start(self, writer: DataStreamWriter) -> StreamingQuery:
         writer = writer.option("checkpointLocation", self.checkpoint)
         if self.name:
             writer = writer.queryName(self.name)
@@ -79,12 +95,13 @@ def start_log(
         finally:
             batch.unpersist()
 
-    return options.start(rows.writeStream.outputMode(output_mode).foreachBatch(write))
+    return options.start(rows.sparkSession, rows.writeStream.outputMode(output_mode).foreachBatch(write))
 
 
 def start_quarantine(decoded: DataFrame, path: str, options: StreamOptions) -> StreamingQuery:
     """Append the records that cannot be used, with the reason, to a Parquet folder."""
-    return options.start(rejected(decoded).writeStream.outputMode("append").format("parquet").option("path", path))
+    writer = rejected(decoded).writeStream.outputMode("append").format("parquet").option("path", path)
+    return options.start(decoded.sparkSession, writer)
 
 
 def start_surveillance(

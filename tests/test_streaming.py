@@ -113,6 +113,21 @@ def test_run_id_belongs_to_the_checkpoint(spark, tmp_path):
     assert run_id_of(spark, f"{tmp_path}/a") == first
 
 
+def test_state_partitions_are_bounded_by_the_cores(spark, feed):
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        feed.send(report("01-01-2024", 1))
+        feed.run()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    stores = [n for n in os.listdir(f"{feed.folder}/checkpoint/log/state/0") if n.isdigit()]
+    assert len(stores) == spark.sparkContext.defaultParallelism
+    feed.send(report("02-01-2024", 2))
+    feed.run()
+    assert feed.states() == {("A", "18-01"): 3.0}
+
+
 def test_empty_batches_write_nothing(feed):
     feed.send(report("01-01-2024", 1))
     feed.run()
