@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import exact, shards
+from epigauge.llm import exact, mixing, shards
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"), shards=16)
+
+
+@query
+def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
