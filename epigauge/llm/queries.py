@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import chat, exact, mixing, shards
+from epigauge.llm import chat, exact, mixing, quality, shards, toxicity
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,31 @@ def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
 
 
+def held_out(part: int, of: int) -> Column:
+    """Whether crc32 of the id as text leaves ``part``; a null id is not held out."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+    return F.coalesce(rest == part, F.lit(False))
+
+
+def scored(docs: DataFrame, score: Column, out: Column) -> DataFrame:
+    rows = docs.select("doc_id", out.alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op1_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(1, 3)
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~out))
+    return scored(docs, model.score(F.col("text")), out)
+
+
+@query
+def op4_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(0, 5)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~out))
+    return scored(docs, model.score(F.col("text")), out)
+
+
 @query
 def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
