@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import chat, exact, mixing, quality, shards, toxicity
+from epigauge.llm import chat, exact, mixing, packing, quality, shards, toxicity
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,15 @@ def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
     return chat.read_back(chat.format_chats(rows.unionByName(planted)))
+
+
+def public_vocabulary() -> packing.Vocabulary:
+    """The vocabulary file of the contract, from the installed package of public tokenizers."""
+    import public_tokenizers as public
+
+    return packing.Vocabulary(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+
+
+@query
+def op5_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_vocabulary(), capacity=2048)
