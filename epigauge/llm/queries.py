@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import chat, exact, mixing, packing, quality, shards, toxicity
+from epigauge.llm import chat, exact, minhash, mixing, packing, quality, shards, toxicity
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def public_vocabulary() -> packing.Vocabulary:
 @query
 def op5_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_vocabulary(), capacity=2048)
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), minhash.NearDup(words=5, percent=85))
