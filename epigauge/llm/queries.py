@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import chat, exact, minhash, mixing, packing, quality, shards, toxicity
+from epigauge.llm import chat, exact, minhash, mixing, nndescent, packing, quality, shards, toxicity
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def op5_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), minhash.NearDup(words=5, percent=85))
+
+
+@query
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_vectors(table(spark, sf_dir, "embeddings"), nndescent.Descent(cosine=0.93))
