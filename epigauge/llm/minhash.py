@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -162,8 +162,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, near: NearDup, id_col: str, tex
     return sets
 
 
-@pandas_udf("long")
-def shared(left: pd.Series, right: pd.Series) -> pd.Series:
+def shared(left: str, right: str) -> Column:
     """How many hashes two sorted sets share."""
 
     def count(a: bytes, b: bytes) -> int:
@@ -174,7 +173,11 @@ def shared(left: pd.Series, right: pd.Series) -> pd.Series:
         at[at == len(y)] = 0
         return int((y[at] == x).sum())
 
-    return pd.Series([count(a, b) for a, b in zip(left, right, strict=True)], dtype="int64")
+    @pandas_udf("long")
+    def of(one: pd.Series, other: pd.Series) -> pd.Series:
+        return pd.Series([count(a, b) for a, b in zip(one, other, strict=True)], dtype="int64")
+
+    return of(left, right)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, near: NearDup) -> DataFrame:

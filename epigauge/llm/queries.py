@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import chat, exact, minhash, mixing, nndescent, packing, quality, shards, toxicity
+from epigauge.llm import chat, exact, minhash, mixing, nndescent, packing, quality, shards, suffixes, toxicity
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nndescent.near_vectors(table(spark, sf_dir, "embeddings"), nndescent.Descent(cosine=0.93))
+
+
+@query
+def op2_cover_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), suffixes.Repeats(width=100)).drop("kept")
