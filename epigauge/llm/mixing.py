@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epigauge.llm.common import WORDS, number_within, text_of
+from epigauge.llm.common import WORDS, free_name, number_within, text_of
 from epigauge.session import materialise
 
 #: Newton stops when every source's expected words are this close to its target, relatively.
@@ -184,3 +184,16 @@ def nearer(rounded: DataFrame, cap: int) -> DataFrame:
             moved[k, s] = moved.get((k, s), 0) + m
             gaps[k] = g - m * s
     return applied()
+
+
+def resample(docs: DataFrame, id_col: str = "doc_id", **settings: object) -> DataFrame:
+    """Every row as often as the mix takes it, with all its columns.
+
+    Rows that share an id are taken equally often: as often as the one that is taken most.
+    """
+    plan = mix(docs, id_col=id_col, **settings).groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    plan = materialise(plan.filter("copies > 0"), "plan").withColumnsRenamed({"doc_id": "mixed_id", "copies": "mixed_copies"})
+    time = free_name(docs, "time")
+    met = docs.join(plan, docs[id_col].eqNullSafe(plan["mixed_id"]))
+    every = F.explode(F.sequence(F.lit(1).cast("long"), plan["mixed_copies"])).alias(time)
+    return met.select(*(docs[c] for c in docs.columns), every).drop(time)
