@@ -3,18 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from epigauge.llm import exact
+from epigauge.llm import exact, minhash, mixing, packing, quality
 from epigauge.llm.common import table
+from epigauge.llm.queries import public_vocabulary
 from epigauge.session import run_dir
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that rank below the cut of the labelled ones go."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.filter(model.score(F.col("text")) >= 0.5)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact.dedup(docs)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts stays."""
+    return minhash.dedup(docs, minhash.NearDup(words=5, percent=85))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as its source's share of the words asks for."""
+    return mixing.resample(docs, weights=(3, 1, 2), share=1.5, cap=2)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their place in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_vocabulary(), capacity=2048)
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("source mix", source_mix),
+    ("sequence packing", sequence_packing),
+]
 
 #: A fitted classifier and the merge rules of a tokenizer have no SQL form.
 ORACLE_SQL = None
