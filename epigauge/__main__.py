@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epigauge.operators.cleaning import cleaning_report, keep_nonzero, numeric_columns
+from epigauge.operators.cleaning import cleaning_report, indicator_columns, keep_nonzero
 from epigauge.plans.board import build_board
 from epigauge.plans.scoring import score_windows
 from epigauge.plans.training import Bundle, feature_importance, train_on_history
@@ -30,7 +30,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = _read(spark, args.input)
-    numeric = numeric_columns(raw, exclude=HEALTH.key_names)
+    numeric = indicator_columns(raw, HEALTH, exclude=args.exclude)
     cleaning_report(raw, numeric).show()
     _write(keep_nonzero(raw, numeric), args.output)
 
@@ -43,13 +43,15 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def send(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Daily reports as messages: to a topic at once, or to a folder one date after the other."""
+    """Daily reports as messages, one date after the other, to a topic or a folder."""
     reports = read_csv(spark, args.input, HEALTH.record_schema())
-    if args.topic:
-        kafka_send(encode(reports, HEALTH), args.servers, args.topic)
-        return
     dated = reports.withColumn("day", event_time(F.col(HEALTH.time_text), HEALTH.time_format).cast("date"))
-    for day in replay(encode(dated, HEALTH, keep=("day",)), F.col("day"), args.folder):
+    messages = encode(dated, HEALTH, keep=("day",))
+
+    def to_topic(one: DataFrame) -> None:
+        kafka_send(one, args.servers, args.topic)
+
+    for day in replay(messages, F.col("day"), args.folder, to_topic if args.topic else None):
         print(f"sent {day}")
 
 
@@ -72,17 +74,23 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
             every=args.every,
             once_per_report=args.once_per_report,
             name="surveillance",
+            missing_counts=args.missing_counts,
+            full_windows=args.full_windows,
+            state_partitions=args.state_partitions,
         )
     )
 
 
 def serve(spark: SparkSession, args: argparse.Namespace) -> None:
-    for name, table in build_board(PredictionLog(args.log).latest(spark)).items():
+    for name, table in build_board(PredictionLog(args.log).latest(spark, finality=True)).items():
         _write(table, f"{args.output}/{name}")
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    print("compacted" if PredictionLog(args.log).compact(spark) else "nothing to compact")
+    log = PredictionLog(args.log)
+    print("compacted" if log.compact(spark) else "nothing to compact")
+    if args.retain_after is not None:
+        print(f"removed {log.retain(spark, args.retain_after)} folders")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -102,7 +110,7 @@ def parser() -> argparse.ArgumentParser:
         where.add_argument("--topic")
         where.add_argument("--folder")
 
-    command(clean, "input", "output")
+    command(clean, "input", "output").add_argument("--exclude", action="append", default=[], help="a column that is no metric")
     command(train, "input", "bundle").add_argument("--legacy-invert", action="store_true")
     transport(command(send, "input"))
     live = command(stream, "bundle", "log", "quarantine", "checkpoint")
@@ -112,8 +120,11 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--every", help="processing interval; without it, work off what is there and stop")
     live.add_argument("--once-per-report", action="store_true")
     live.add_argument("--rocksdb", action="store_true")
+    live.add_argument("--missing-counts", action="store_true", help="log how many values each sum lacks")
+    live.add_argument("--full-windows", action="store_true", help="scale partly reported windows before scoring")
+    live.add_argument("--state-partitions", type=int, help="fixed by the first start on a checkpoint")
     command(serve, "log", "output")
-    command(compact, "log")
+    command(compact, "log").add_argument("--retain-after", type=float, help="delete folded folders after so many seconds")
     return top
 
 

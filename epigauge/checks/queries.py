@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from epigauge.checks import fixtures
 from epigauge.checks.fixtures import EVENTS
 from epigauge.functions.labels import location_of, region_of, severity_of
-from epigauge.functions.numeric import nan_to_null
+from epigauge.functions.numeric import all_present, finite_or_null
 from epigauge.operators import classify, cleaning, clusters, distribution, features
 from epigauge.operators.latest import latest_rows
 from epigauge.operators.windows import to_full_window, watermarked, window_sums, with_finality
@@ -76,12 +76,20 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON records, three in twenty unusable and two in twenty with a bad number."""
+    """Events as JSON records, five in twenty unusable and three in twenty with a bad number."""
     case = F.col("event_id") % 20
-    day = F.when(case == 1, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", EVENTS.time_format))
+    day = (
+        F.when(case == 1, F.date_format("ts", "yyyy-MM-dd"))
+        .when(case == 5, F.lit("01-01-9999"))
+        .when(case == 6, F.lit("31-12-1899"))
+        .otherwise(F.date_format("ts", EVENTS.time_format))
+    )
     kind = F.when(case == 2, F.lit("")).otherwise(F.format_string(', "event_type": "%s"', "event_type"))
     number = (
-        F.when(case == 3, F.lit("NaN")).when(case == 4, F.lit('"abc"')).otherwise(F.col("value").cast("string"))
+        F.when(case == 3, F.lit("NaN"))
+        .when(case == 4, F.lit('"abc"'))
+        .when(case == 7, F.lit("Infinity"))
+        .otherwise(F.col("value").cast("string"))
     )
     end = F.when(case == 0, F.lit("")).otherwise(F.lit("}"))
     text = F.concat(F.lit('{"Date": "'), day, F.lit('"'), kind, F.lit(', "value": '), number, end)
@@ -212,7 +220,7 @@ def window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def window_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    holed = fixtures.holed_reports(spark, sf_dir).withColumns({m: nan_to_null(m) for m in METRICS})
+    holed = fixtures.holed_reports(spark, sf_dir).withColumns({m: finite_or_null(m) for m in METRICS})
     sums = window_sums(holed.withColumn(HEALTH.time, F.col("day").cast("timestamp")), HEALTH, missing_counts=True)
     shown = ["C_Section", "Child_TB", "C_Section_missing", "Child_TB_missing", "days_seen"]
     return sums.select(F.to_date("window_start").alias("window_start"), "State", "Region_Index", *shown)
@@ -473,47 +481,49 @@ def classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.quality(matrix).select("rows", *[_rounded(r) for r in rates])
 
 
-def _training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.scaled_features(training.stable_layout(fixtures.windows(spark, sf_dir), HEALTH))[0]
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Separated windows, scaled, with the severity of their fitted cluster; laid out and scaled once."""
+    table = training.stable_layout(fixtures.separated_windows(spark, sf_dir), HEALTH)
+    scaled = materialise(training.scaled_features(table)[0].drop("raw_features"), "scaled")
+    clustered = clusters.fit_kmeans(scaled).transform(scaled)
+    return clusters.relabel_by_burden(clustered, "prediction", HEALTH.burden)
 
 
 @query
 def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = _training_features(spark, sf_dir)
-    clustered = clusters.fit_kmeans(scaled).transform(scaled)
-    return clusters.relabel_by_burden(clustered, "prediction", HEALTH.burden).select(
+    return _clustered(spark, sf_dir).select(
         F.to_date("window_start").alias("window_start"), "State", "Region_Index", "severity"
     )
 
 
 @query
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = _training_features(spark, sf_dir).persist()
+    """Two to seven clusters side by side; the row of the true number has an exact answer."""
+    table = training.stable_layout(fixtures.separated_windows(spark, sf_dir), HEALTH)
+    scaled = training.scaled_features(table)[0].select("features").persist()
     try:
-        return clusters.sweep_k(scaled)
+        swept = clusters.sweep_k(scaled)
     finally:
         scaled.unpersist()
+    return swept.where("k = 3").select("k", _rounded("cost", 4), _rounded("silhouette"))
 
 
 @query
 def cluster_map_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row's place on the first two components, with the health status of its cluster."""
-    scaled = _training_features(spark, sf_dir)
-    clustered = clusters.fit_kmeans(scaled).transform(scaled)
-    named = clusters.relabel_by_burden(clustered, "prediction", HEALTH.burden)
-    return features.spread_vector(_on_plane(named), "plane", ["PCA1", "PCA2"]).select(
+    return features.spread_vector(_on_plane(_clustered(spark, sf_dir)), "plane", ["PCA1", "PCA2"]).select(
         F.to_date("window_start").alias("window_start"),
         "State",
-        "Region_Index",
-        "PCA1",
-        "PCA2",
+        F.col("Region_Index").alias("region_code"),
+        _rounded("PCA1", 5),
+        _rounded("PCA2", 5),
         "severity",
         severity_of(F.col("severity"), HEALTH_LABELS).alias("Health_Status"),
     )
 
 
 def _bundle(spark: SparkSession, sf_dir: str) -> tuple[training.Bundle, DataFrame]:
-    window_table = fixtures.windows(spark, sf_dir)
+    window_table = fixtures.separated_windows(spark, sf_dir)
     return training.train(window_table), window_table
 
 
@@ -522,13 +532,19 @@ def severity_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle, _ = _bundle(spark, sf_dir)
     held = bundle.facts["held_out"]
     row = (bundle.forest.getNumTrees, bundle.forest.numClasses, bundle.facts["cost"], *held.values())
-    rates = ", ".join(f"{name} double" for name in held if name != "rows")
-    return spark.createDataFrame([row], f"trees int, classes int, cost double, rows bigint, {rates}")
+    rates = [name for name in held if name != "rows"]
+    columns = ", ".join(f"{name} double" for name in rates)
+    trained = spark.createDataFrame([row], f"trees int, classes int, cost double, rows bigint, {columns}")
+    return trained.select("trees", "classes", _rounded("cost", 4), "rows", *[_rounded(r) for r in rates])
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.feature_importance(_bundle(spark, sf_dir)[0], spark)
+    """Every feature once, the weights falling and one in sum: what holds whatever trees were fitted."""
+    ordered = training.feature_importance(_bundle(spark, sf_dir)[0], spark).collect()
+    weights = [row.importance for row in ordered]
+    row = (len({row.feature for row in ordered}), weights == sorted(weights, reverse=True), round(sum(weights), 6))
+    return spark.createDataFrame([row], "features int, falling boolean, total double")
 
 
 @query
@@ -543,7 +559,17 @@ def severity_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle, window_table = _bundle(spark, sf_dir)
-    return scoring.score_windows(window_table, bundle)
+    return scoring.score_windows(window_table, bundle).select(
+        F.to_date("window_start").alias("window_start"),
+        F.to_date("Month_Ending").alias("Month_Ending"),
+        "State",
+        "Region_Index",
+        "Severity_Level",
+        _rounded("Vulnerability_Score", 5),
+        _rounded("Vulnerability_Clipped", 5),
+        "Region",
+        "Location",
+    )
 
 
 @query
@@ -612,9 +638,22 @@ def stream_update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest window per location, from a log that was compacted on the way."""
-    log = _surveyed(spark, sf_dir)
-    log.compact(spark)
+    """Newest window per location from a log of two runs, one for each line status, compacted between them."""
+    base = run_dir(spark, "stream")
+    log = PredictionLog(f"{base}/log")
+    ticks = {"early": 2, "late": 1}
+
+    def survey(run: str, region: float) -> None:
+        daily = fixtures.daily_reports(spark, sf_dir).where(F.col("Region_Index") == region)
+        year = F.floor(F.year("day") / F.lit(ticks[run])).cast("int")
+        for _ in replay.replay(records.encode(daily, HEALTH, keep=("day",)), year, f"{base}/{run}"):
+            source = streams.file_records(spark, f"{base}/{run}")
+            finish(start_surveillance(source, log, f"{base}/quarantine-{run}", f"{base}/checkpoint-{run}"))
+            log.compact(spark)  # the other run is older or newer, and goes on afterwards
+
+    survey("early", 0.0)
+    survey("late", 1.0)
+    log.retain(spark, 0)
     return _window_days(log.latest(spark)).select(*WINDOW_COLUMNS)
 
 
@@ -631,7 +670,8 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     _damaged_events(spark, sf_dir).write.text(f"{base}/in")
     log = PredictionLog(f"{base}/log", EVENTS)
     source = streams.file_records(spark, f"{base}/in")
-    finish(start_surveillance(source, log, f"{base}/quarantine", f"{base}/checkpoint", EVENTS))
+    started = start_surveillance(source, log, f"{base}/quarantine", f"{base}/checkpoint", EVENTS, once_per_report=True)
+    finish(started)
     set_aside = spark.read.parquet(f"{base}/quarantine")
     return set_aside.groupBy("reject_reason").agg(F.count("*").alias("records"))
 
@@ -640,7 +680,62 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows scored inside the stream; their last state has the score of the batch result."""
     bundle, _ = _bundle(spark, sf_dir)
-    log = _surveyed(spark, sf_dir, score=lambda sums: scoring.score_windows(sums, bundle))
-    return log.windows(spark).select(
-        F.to_date("window_start").alias("window_start"), "State", "Region_Index", _rounded("Vulnerability_Score", 5)
+    score = lambda sums: scoring.score_windows(fixtures.separated(sums), bundle)
+    return _surveyed(spark, sf_dir, score=score).windows(spark).select(
+        F.to_date("window_start").alias("window_start"),
+        "State",
+        "Region_Index",
+        "Severity_Level",
+        _rounded("Vulnerability_Score", 5),
     )
+
+
+def _holed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily reports as JSON; one state never tells two of its metrics, others leave holes."""
+    holed = fixtures.daily_reports(spark, sf_dir).withColumns(
+        {
+            "C_Section": F.when((F.dayofmonth("day") % 5 != 0) & (F.col("State") != "S03"), F.col("C_Section")),
+            "Child_TB": F.when(F.col("State") != "S03", F.col("Child_TB")),
+        }
+    )
+    return records.encode(holed, HEALTH, keep=("day",))
+
+
+def _holed_log(spark: SparkSession, sf_dir: str) -> PredictionLog:
+    """Holed reports streamed with missing counts and full windows, scored by their burden per day."""
+    base = run_dir(spark, "stream")
+    log = PredictionLog(f"{base}/log")
+
+    def score(sums: DataFrame) -> DataFrame:
+        return sums.where(all_present(FEATURES))
+
+    for _ in replay.replay(_holed_messages(spark, sf_dir), F.floor(F.year("day") / F.lit(2)).cast("int"), f"{base}/in"):
+        source = streams.file_records(spark, f"{base}/in")
+        queries = start_surveillance(
+            source, log, f"{base}/quarantine", f"{base}/checkpoint", score=score, missing_counts=True, full_windows=True
+        )
+        finish(queries)
+    return log
+
+
+@query
+def stream_holed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums scaled to full windows, missing counts and finality of the windows that could be scored."""
+    states = _holed_log(spark, sf_dir).windows(spark, finality=True)
+    return states.select(
+        F.to_date("window_start").alias("window_start"),
+        "State",
+        "Region_Index",
+        _rounded("C_Section", 5),
+        _rounded("Child_TB", 5),
+        "C_Section_missing",
+        "Child_TB_missing",
+        "days_seen",
+        "is_final",
+    )
+
+
+@query
+def stream_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many windows of each state could not be scored."""
+    return _holed_log(spark, sf_dir).skipped(spark).groupBy("State").agg(F.count("*").alias("windows"))

@@ -149,6 +149,40 @@ sides AS (
   FROM pairs GROUP BY ALL)"""
 
 
+# The separated windows and what fitted models must find in them.
+SEPARATED = f"""{WINDOWS}, kinds AS (
+  SELECT * EXCLUDE ({METRIC_LIST}), {each("{m} AS m_{i}")}, CAST(substr(State, 2) AS INTEGER) % 3 AS truth FROM windows),
+separated AS (
+  SELECT window_start, window_end, State, Region_Index, truth,
+       {", ".join(f"(truth + 1) * {1000 * (1 + i % 3)}.0::DOUBLE + m_{i} % 5 AS {m}" for i, m in enumerate(METRICS))}
+  FROM kinds)"""
+
+SEPARATED_SCALED = f"""{SEPARATED}, moments AS (
+  SELECT {each("avg({m}) AS mu_{i}, stddev_samp({m}) AS sd_{i}", FEATURES)} FROM separated),
+scaled AS (
+  SELECT window_start, State, p.Region_Index AS region_code, truth AS Severity_Level,
+       {each("CASE WHEN sd_{i} = 0 THEN 0.0 ELSE (p.{m} - mu_{i}) / sd_{i} END AS z_{i}", FEATURES)}
+  FROM separated p, moments)"""
+
+SEPARATED_PLANE = SEPARATED_SCALED + PLANE.removeprefix(SCALED)
+SEPARATED_ASSIGNED = SEPARATED_SCALED + ASSIGNED.removeprefix(SCALED)
+SEPARATED_SILHOUETTE = SEPARATED_SCALED + SILHOUETTE.removeprefix(SCALED)
+SEPARATED_COMPONENT = SEPARATED + COMPONENT.removeprefix(WINDOWS).replace("FROM windows", "FROM separated")
+_SILHOUETTE_OF = "SELECT count(*) AS points, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides"
+
+HOLED_WINDOWS = f"""{DAILY}, told AS (
+  SELECT * REPLACE (
+    CASE WHEN dayofmonth(day) % 5 <> 0 AND State <> 'S03' THEN C_Section END AS C_Section,
+    CASE WHEN State <> 'S03' THEN Child_TB END AS Child_TB)
+  FROM daily),
+told_windows AS (
+  SELECT CAST(time_bucket(INTERVAL '30 days', day::TIMESTAMP, TIMESTAMP '1970-01-01') AS DATE) AS window_start,
+       State, Region_Index, sum(C_Section) AS C_Section, sum(Child_TB) AS Child_TB,
+       count(*) FILTER (C_Section IS NULL) AS C_Section_missing, count(*) FILTER (Child_TB IS NULL) AS Child_TB_missing,
+       count(DISTINCT day) AS days_seen, max(day) AS last_day
+  FROM told GROUP BY ALL)"""
+
+
 def oracles() -> dict[str, str]:
     """Expected result per query name."""
     return {name: sql.strip() for name, sql in _ORACLES.items()}
@@ -166,9 +200,9 @@ _ORACLES = {
         SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "json_quarantine": """
         SELECT CASE event_id % 20 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'bad_time' WHEN 2 THEN 'missing_key'
-                 ELSE 'accepted' END AS outcome,
+                 WHEN 5 THEN 'future_time' WHEN 6 THEN 'too_old' ELSE 'accepted' END AS outcome,
                count(*) AS records,
-               sum(CASE WHEN event_id % 20 > 4 THEN 1 ELSE 0 END)::BIGINT AS values_read
+               sum(CASE WHEN event_id % 20 > 7 THEN 1 ELSE 0 END)::BIGINT AS values_read
         FROM events GROUP BY 1""",
     "replay_daily_batches": f"""WITH {DAILY} SELECT "Date", count(*) AS records FROM daily GROUP BY 1""",
     "replay_files": f"""WITH {DAILY} SELECT year(day)::INTEGER AS tick, count(*) AS records FROM daily GROUP BY 1""",
@@ -352,11 +386,51 @@ _ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY State, Region_Index ORDER BY window_end DESC) = 1""",
     "stream_once_per_report": f"""WITH {WINDOWS} SELECT {_LOG_COLUMNS} FROM windows""",
     "stream_quarantine": """
-        SELECT CASE event_id % 20 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'bad_time' ELSE 'missing_key' END AS reject_reason,
+        SELECT CASE event_id % 20 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'bad_time' WHEN 2 THEN 'missing_key'
+                 WHEN 5 THEN 'future_time' ELSE 'too_old' END AS reject_reason,
                count(*) AS records
-        FROM events WHERE event_id % 20 < 3 GROUP BY 1""",
-    "stream_scored": f"""WITH RECURSIVE {COMPONENT}
-        SELECT window_start, State, Region_Index, round(score, 5) AS Vulnerability_Score FROM vulnerability""",
+        FROM events WHERE event_id % 20 IN (0, 1, 2, 5, 6) GROUP BY 1""",
+    "stream_scored": f"""WITH RECURSIVE {SEPARATED_COMPONENT}
+        SELECT window_start, State, Region_Index, CAST(substr(State, 2) AS INTEGER) % 3 AS Severity_Level,
+               round(score, 5) AS Vulnerability_Score
+        FROM vulnerability""",
+    "stream_holed_reports": f"""WITH {HOLED_WINDOWS}
+        SELECT window_start, State, Region_Index, round(C_Section * 30.0::DOUBLE / days_seen, 5) + 0.0 AS C_Section,
+               round(Child_TB * 30.0::DOUBLE / days_seen, 5) + 0.0 AS Child_TB, C_Section_missing, Child_TB_missing, days_seen,
+               window_start + INTERVAL 30 DAY <= (SELECT max(last_day) - INTERVAL 2 DAY FROM told_windows
+                 WHERE C_Section IS NOT NULL AND Child_TB IS NOT NULL) AS is_final
+        FROM told_windows WHERE C_Section IS NOT NULL AND Child_TB IS NOT NULL""",
+    "stream_skipped": f"""WITH {HOLED_WINDOWS}
+        SELECT State, count(*) AS windows FROM told_windows WHERE C_Section IS NULL OR Child_TB IS NULL GROUP BY 1""",
+    # fitted models on windows with one right answer
+    "kmeans_clusters": f"""WITH {SEPARATED}
+        SELECT window_start, State, Region_Index, truth AS severity FROM separated""",
+    "k_sweep": f"""WITH {SEPARATED_ASSIGNED}, {SEPARATED_SILHOUETTE.removeprefix(SEPARATED_SCALED).removeprefix(", ")}
+        SELECT 3 AS k, (SELECT round(sum(squared_distance), 4) FROM assigned) AS cost, silhouette
+        FROM ({_SILHOUETTE_OF})""",
+    "cluster_map_2d": f"""WITH RECURSIVE {SEPARATED_PLANE}
+        SELECT window_start, State, region_code,
+               round({" + ".join(f"z_{i} * first.w[{i + 1}]" for i in range(_N))}, 5) + 0.0 AS PCA1,
+               round({" + ".join(f"z_{i} * second.w[{i + 1}]" for i in range(_N))}, 5) + 0.0 AS PCA2,
+               Severity_Level AS severity, ['Safe', 'Average', 'Critical'][Severity_Level + 1] AS Health_Status
+        FROM scaled, first, second""",
+    "severity_train": f"""WITH {SEPARATED_ASSIGNED}, held AS (
+          SELECT count(*) AS n FROM separated
+          WHERE ('0x' || substr(md5(strftime(window_start, '%Y-%m-%d') || ' 00:00:00|' || State || '|'
+                 || Region_Index::INTEGER || '.0'), 1, 8))::BIGINT % 100 >= 80)
+        SELECT 50 AS trees, 3 AS classes, (SELECT round(sum(squared_distance), 4) FROM assigned) AS cost, n AS rows,
+               1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS weighted_precision, 1.0::DOUBLE AS weighted_recall,
+               1.0::DOUBLE AS weighted_f1
+        FROM held""",
+    "feature_importance": f"""SELECT {len(FEATURES)} AS features, true AS falling, 1.0::DOUBLE AS total""",
+    "severity_predict": f"""WITH {SEPARATED}
+        SELECT truth AS Severity_Level, ['Low Risk', 'Moderate Risk', 'High Risk'][truth + 1] AS Severity, count(*) AS n
+        FROM separated GROUP BY 1, 2""",
+    "score_windows": f"""WITH RECURSIVE {SEPARATED_COMPONENT}
+        SELECT window_start, CAST(window_start + INTERVAL 30 DAY AS DATE) AS Month_Ending, State, Region_Index,
+               CAST(substr(State, 2) AS INTEGER) % 3 AS Severity_Level, round(score, 5) AS Vulnerability_Score,
+               round(score, 5) AS Vulnerability_Clipped, {REGION} AS Region, State || ' (' || {REGION} || ')' AS Location
+        FROM vulnerability""",
     # models: what can be said without the fitted trees
     "model_roundtrip": f"""WITH {WINDOWS}
         SELECT count(*) AS rows, 0::BIGINT AS differing FROM windows""",

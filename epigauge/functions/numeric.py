@@ -16,25 +16,40 @@ def any_nonzero(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.coalesce(F.col(c) != 0, F.lit(False)) for c in columns])
 
 
+def is_finite(column: str) -> Column:
+    """True for a number; false for null, NaN and the infinities."""
+    value = F.col(column).cast("double")
+    return F.coalesce(F.abs(value) < F.lit(float("inf")), F.lit(False))
+
+
 def all_present(columns: Sequence[str]) -> Column:
-    """True if no column is null or NaN."""
-    return reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns])
+    """True if every column is a finite number."""
+    return reduce(and_, [is_finite(c) for c in columns])
 
 
-def nan_to_null(column: str) -> Column:
-    return F.when(~F.isnan(column), F.col(column))
+def finite_or_null(column: str) -> Column:
+    return F.when(is_finite(column), F.col(column))
 
 
 def total(columns: Sequence[str]) -> Column:
     return reduce(add, [F.col(c) for c in columns])
 
 
-def day_bit(time: Column, window_days: int) -> Column:
-    """The bit of a timestamp's day within its epoch-aligned window.
+#: Days whose bits go into one BIGINT.
+DAYS_PER_WORD = 63
+
+
+def day_bits(time: Column, window_days: int) -> list[Column]:
+    """The bit of a timestamp's day within its epoch-aligned window, in one word per 63 days.
 
-    ``bit_or`` over these bits followed by ``bit_count`` is an exact count of distinct days with a
+    ``bit_or`` over these words followed by ``bit_count`` is an exact count of distinct days with a
     fixed-size buffer: it stays in the hash aggregate and is allowed on streams, where a distinct
     count is not.
     """
-    day = F.floor(F.unix_seconds(time) / F.lit(86400))
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(window_days)).cast("int"))
+    day = F.pmod(F.floor(F.unix_seconds(time) / F.lit(86400)), F.lit(window_days)).cast("int")
+    words = []
+    for first in range(0, window_days, DAYS_PER_WORD):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), day - F.lit(first))
+        inside = (day >= first) & (day < first + DAYS_PER_WORD)
+        words.append(F.when(inside, bit).otherwise(F.lit(0).cast("long")) if window_days > DAYS_PER_WORD else bit)
+    return words

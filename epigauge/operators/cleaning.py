@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from epigauge.functions.numeric import all_present, any_nonzero
+from epigauge.spec import CALENDAR, IndicatorSpec
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -14,6 +15,16 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
+def indicator_columns(df: DataFrame, spec: IndicatorSpec, exclude: Sequence[str] = ()) -> list[str]:
+    """The metrics of a table: those of the feed if it has them all, else its numeric columns.
+
+    Keys, calendar columns and the excluded ones are no metrics: a year is never zero.
+    """
+    if set(spec.metrics) <= set(df.columns):
+        return [m for m in spec.metrics if m not in exclude]
+    return numeric_columns(df, exclude=[*spec.key_names, *CALENDAR, *exclude])
+
+
 def keep_nonzero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(any_nonzero(columns))
 
@@ -47,7 +58,7 @@ def column_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def keep_complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with a null or NaN in any of the columns."""
+    """Drop rows in which a column is null, NaN or infinite."""
     return df.where(all_present(columns))
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from epigauge.functions.numeric import is_finite
+
 
 def histogram(df: DataFrame, score: str, bins: int = 30) -> DataFrame:
     """Equal-width bins from minimum to maximum, empty ones included, the maximum in the last bin.
 
     If all scores are equal the range is half a unit to each side of the value.
     """
-    scores = df.where(F.col(score).isNotNull() & ~F.isnan(score)).select(F.col(score).alias("x"))
+    scores = df.where(is_finite(score)).select(F.col(score).alias("x"))
     ends = scores.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
     low, high = ends["low"], ends["high"]
     left = F.when(low == high, low - F.lit(0.5)).otherwise(low)
@@ -32,25 +34,37 @@ def histogram(df: DataFrame, score: str, bins: int = 30) -> DataFrame:
 def density(df: DataFrame, score: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum, bandwidth by Scott's rule.
 
-    Exact: each distinct score adds its kernel to every grid point. The grid has a fixed size and
-    the sums are formed before the shuffle, so the cost grows with the number of scores only.
+    Exact: each score adds its kernel to every grid point, and the points are the columns of one aggregate, so
+    no score is shuffled. If all scores are equal (or there is one) the grid is half a unit to each side and
+    the deviation counts as one.
     """
-    scores = df.where(F.col(score).isNotNull() & ~F.isnan(score)).select(F.col(score).alias("x"))
+    scores = df.where(is_finite(score)).select(F.col(score).alias("x"))
+    some = F.coalesce(F.stddev_samp("x"), F.lit(0.0))
+    alone = (F.min("x") == F.max("x")) | (some == 0)
     stats = scores.agg(
         F.struct(
-            F.min("x").alias("low"),
-            F.max("x").alias("high"),
+            F.when(alone, F.min("x") - 0.5).otherwise(F.min("x")).alias("low"),
+            F.when(alone, F.max("x") + 0.5).otherwise(F.max("x")).alias("high"),
             F.count("x").cast("double").alias("n"),
-            (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("h"),
+            (F.when(alone, F.lit(1.0)).otherwise(some) * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("h"),
         ).alias("stats")
-    ).scalar()
-    weighted = scores.groupBy("x").agg(F.count("*").alias("weight")).withColumn("s", stats)
-    step = (F.col("s.high") - F.col("s.low")) / F.lit(float(points - 1))
-    spread = weighted.select(
-        "x", "weight", "s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    ).withColumn("at", F.col("s.low") + F.col("point") * step)
-    distance = (F.col("at") - F.col("x")) / F.col("s.h")
-    kernel = F.exp(F.lit(-0.5) * distance * distance) / (
-        F.col("s.n") * F.col("s.h") * F.sqrt(F.lit(2.0) * F.pi())
     )
-    return spread.groupBy("point", "at").agg(F.sum(F.col("weight") * kernel).alias("density"))
+    low, step, n, h = (f"s.{name}" for name in ("low", "step", "n", "h"))
+    step_of = ((F.col("stats.high") - F.col("stats.low")) / F.lit(float(points - 1))).alias("step")
+    found = stats.select(F.struct("stats.low", step_of, "stats.n", "stats.h")).scalar()
+    kernels = []
+    for point in range(points):
+        away = (F.col(low) + F.lit(float(point)) * F.col(step) - F.col("x")) / F.col(h)
+        kernels.append(F.sum(F.exp(F.lit(-0.5) * away * away)).alias(f"k{point}"))
+    sums = scores.withColumn("s", found).agg(F.first("s").alias("s"), *kernels).where("s is not null")
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(point).alias("point"),
+                (F.col(low) + F.lit(float(point)) * F.col(step)).alias("at"),
+                (F.col(f"k{point}") / (F.col(n) * F.col(h) * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
+            )
+            for point in range(points)
+        ]
+    )
+    return sums.select(F.inline(rows))

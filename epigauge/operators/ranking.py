@@ -2,38 +2,25 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from epigauge.session import materialise
 
-VALUES_PER_TASK = 200_000
-
 
 def rank_descending(df: DataFrame, score: str, name: str = "rank") -> DataFrame:
     """Add the competition rank of ``score`` (1 = greatest, equal scores share a rank).
 
-    Equal scores are counted first, so a value shared by most rows is one row. The distinct values
-    are cut at quantiles into slices that are ranked side by side; a slice starts after all rows of
-    the slices above it. Only the cuts and one total per slice reach the driver. Null scores get a
-    null rank.
+    Equal scores are counted first, so a value shared by most rows is one row. Ranges of the distinct values
+    go to tasks and are ranked side by side; a range starts after all rows of the ranges above it, which
+    takes one total per range. Null scores get a null rank.
     """
-    values = materialise(
-        df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n")), "rank"
-    )
-    slices = 1 + values.count() // VALUES_PER_TASK
-    cuts = values.approxQuantile(score, [i / slices for i in range(1, slices)], 0.1 / slices) if slices > 1 else []
-    cut_array = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    sliced = values.withColumn("slice", F.size(F.filter(cut_array, lambda c: c > F.col(score))))
-
-    totals = {r["slice"]: r["n"] for r in sliced.groupBy("slice").agg(F.sum("n").alias("n")).collect()}
-    per_slice = [totals.get(i, 0) for i in range(len(set(cuts)) + 1)]
-    starts = F.array(*[F.lit(s) for s in accumulate([0, *per_slice[:-1]])]).cast("array<bigint>")
-
-    above = Window.partitionBy("slice").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = sliced.select(
-        score,
-        (F.get(starts, F.col("slice")) + F.coalesce(F.sum("n").over(above), F.lit(0)) + 1).alias(name),
-    )
+    values = df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n"))
+    ranged = values.repartitionByRange(F.desc(score)).withColumn("range", F.spark_partition_id())
+    ranged = materialise(ranged, "rank")
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    totals = ranged.groupBy("range").agg(F.sum("n").alias("rows"))
+    starts = totals.select("range", F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("start"))
+    above = Window.partitionBy("range").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
+    within = ranged.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0)))
+    ranks = within.join(starts, "range").select(score, (F.col("start") + F.col("above") + 1).alias(name))
     return df.join(ranks, score, "left").select(*df.columns, name)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epigauge.functions.numeric import day_bit
+from epigauge.functions.numeric import day_bits
 from epigauge.spec import IndicatorSpec
 
 
@@ -24,11 +27,12 @@ def window_sums(reports: DataFrame, spec: IndicatorSpec, missing_counts: bool =
     time = F.col(spec.time)
     sums = [F.sum(m).alias(m) for m in spec.metrics]
     holes = [F.count_if(F.col(m).isNull()).alias(f"{m}_missing") for m in spec.metrics if missing_counts]
+    words = day_bits(time, spec.window_days)
     window = F.window(time, f"{spec.window_days} days").alias("window")
     grouped = reports.groupBy(window, *spec.key_names).agg(
         *sums,
         *holes,
-        F.bit_or(day_bit(time, spec.window_days)).alias("day_bits"),
+        *[F.bit_or(word).alias(f"day_bits_{i}") for i, word in enumerate(words)],
         F.max(time).alias("last_report"),
     )
     return grouped.select(
@@ -37,7 +41,7 @@ def window_sums(reports: DataFrame, spec: IndicatorSpec, missing_counts: bool =
         *spec.key_names,
         *spec.metrics,
         *[h for h in grouped.columns if h.endswith("_missing")],
-        F.bit_count("day_bits").cast("long").alias("days_seen"),
+        reduce(add, [F.bit_count(f"day_bits_{i}") for i in range(len(words))]).cast("long").alias("days_seen"),
         "last_report",
     )
 

@@ -21,5 +21,8 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 def build_board(latest: DataFrame) -> dict[str, DataFrame]:
     """All dashboard tables; the latest view is worked out once for all of them."""
-    newest = materialise(latest.select(*serving.SHOWN), "latest")
-    return {name: build(newest) for name, build in TABLES.items()}
+    final = [c for c in ("is_final",) if c in latest.columns]
+    newest = materialise(latest.select(*serving.SHOWN, *final), "latest")
+    tables = {name: build(newest) for name, build in TABLES.items()}
+    high = serving.high_risk(newest).select("Location", "Vulnerability_Score", "Month_Ending", *final)
+    return {**tables, "high_risk": high}

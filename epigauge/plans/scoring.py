@@ -21,7 +21,7 @@ def score_windows(windows: DataFrame, bundle: Bundle, spec: IndicatorSpec = HEAL
     scaled = vector_to_array("score_vector")[0]
     score = F.lit(101.0) - scaled if bundle.facts["legacy_invert"] else scaled
     region = region_of(F.col("Region_Index"), bundle.region_labels)
-    kept = [c for c in windows.columns if c not in spec.metrics and not c.endswith("_missing")]
+    kept = [c for c in windows.columns if c not in spec.metrics]
     return scored.select(
         *kept,
         F.col("window_end").alias("Month_Ending"),

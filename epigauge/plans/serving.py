@@ -12,11 +12,18 @@ from epigauge.sources.tables import require_columns
 NEEDS = ("State", "Month_Ending", "Severity_Level", "Vulnerability_Score", "Location")
 SHOWN = ("State", "Region_Index", "Month_Ending", "Severity_Level", "Vulnerability_Score", "Region", "Location")
 HIGH = "High Risk"
+#: Columns of a prediction log that tell later states of a window from earlier ones.
+VERSION = ("run_id", "batch_id")
 
 
 def latest_predictions(predictions: DataFrame) -> DataFrame:
-    """The newest prediction per location; only the columns a dashboard shows are read and shuffled."""
-    return latest_rows(predictions.select(*SHOWN), ("State", "Region_Index"), ("Month_Ending",))
+    """The newest prediction per location; only the columns a dashboard shows are read and shuffled.
+
+    A raw log may hold several states of a window: the last one written is taken.
+    """
+    versions = [v for v in VERSION if v in predictions.columns]
+    newest = latest_rows(predictions.select(*SHOWN, *versions), ("State", "Region_Index"), ("Month_Ending", *versions))
+    return newest.select(*SHOWN)
 
 
 def with_severity(predictions: DataFrame) -> DataFrame:

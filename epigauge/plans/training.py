@@ -17,7 +17,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from epigauge.operators.classify import confusion, quality, split_bucket
-from epigauge.operators.cleaning import keep_nonzero, numeric_columns
+from epigauge.operators.cleaning import indicator_columns, keep_nonzero
 from epigauge.operators.clusters import fit_kmeans, severity_ranks
 from epigauge.operators.features import (
     assembler,
@@ -74,14 +74,17 @@ def row_key(df: DataFrame, spec: IndicatorSpec) -> list[str]:
 def stable_layout(df: DataFrame, spec: IndicatorSpec) -> DataFrame:
     """Sorted rows in a number of partitions that follows from the row count alone.
 
-    Windows go by the hash of their key, of which there is one row each. Fits that sample per
-    partition (k-means start, forest bags) then see the same rows in the same places on any
-    cluster. A table without windows may hold many copies of a row: it is dealt out evenly.
+    Rows go by the hash of their key. Fits that sample per partition (k-means start, forest bags) then
+    see the same rows in the same places on any cluster and for any layout of the input. A table
+    without windows may hold many copies of a row: they are counted, numbered and dealt out by number.
     """
     order = row_key(df, spec)
     tasks = 1 + df.count() // ROWS_PER_TASK
-    spread = df.repartition(tasks, *order) if "window_start" in order else df.repartition(tasks)
-    return spread.sortWithinPartitions(*order)
+    if "window_start" in order:
+        return df.repartition(tasks, *order).sortWithinPartitions(*order)
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    numbered = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
+    return numbered.repartition(tasks, *df.columns, "copy").sortWithinPartitions(*df.columns, "copy").drop("copy")
 
 
 def scaled_features(windows: DataFrame, spec: IndicatorSpec = HEALTH) -> tuple[DataFrame, object]:
@@ -150,15 +153,15 @@ def train(
 def train_on_history(
     history: DataFrame, spec: IndicatorSpec = HEALTH, region: str = "Region_Type", **options
 ) -> Bundle:
-    """Train on a raw monthly table: all-zero rows are dropped and the region names are indexed.
+    """Train on a raw monthly table: rows without any indicator are dropped and the region names are indexed.
 
     The bundle keeps the names, so that scoring shows the region a code was given in training.
     """
-    numeric = numeric_columns(history, exclude=spec.key_names)
-    cleaned = materialise(keep_nonzero(history, numeric), "history")
+    cleaned = keep_nonzero(history, indicator_columns(history, spec))
     indexer = index_labels(cleaned, region, "Region_Index")
     labels = {float(code): name for code, name in enumerate(indexer.labels)}
-    return train(indexer.transform(cleaned), spec, region_labels=labels, **options)
+    needed = [*spec.key_names, *spec.metrics, *spec.extra_features]
+    return train(indexer.transform(cleaned).select(*dict.fromkeys(needed)), spec, region_labels=labels, **options)
 
 
 def _fit_severity(
@@ -166,7 +169,8 @@ def _fit_severity(
 ) -> tuple[list, KMeansModel, dict]:
     """Clusters ordered by burden as labels, and a forest that predicts them from the features."""
     features, scaler = scaled_features(stable_layout(table, spec), spec)
-    features = features.persist()
+    needed = dict.fromkeys([*row_key(table, spec), *spec.burden, "features"])
+    features = features.select(*needed).persist()
     try:
         kmeans = fit_kmeans(features, k, seed)
         clustered = kmeans.transform(features)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -38,25 +39,66 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+_local_folders: list[tempfile.TemporaryDirectory] = []
+_cleared_at_exit: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting: it then gets a folder of its own.
+    Only a local session may go without the setting: it then gets a folder that lives as long as the process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="epigauge-"))
-    return context.getCheckpointDir().rstrip("/")
+    if not _local_folders:
+        _local_folders.append(tempfile.TemporaryDirectory(prefix="epigauge-", ignore_cleanup_errors=True))
+    return _local_folders[0].name
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are; see :func:`clear_tables`."""
+    path = f"{shared_dir(spark)}/epigauge-{spark.sparkContext.applicationId}"
+    if path not in _cleared_at_exit:
+        _cleared_at_exit.add(path)
+        atexit.register(clear_tables, spark)
+    return path
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A path of its own for one run; nothing else writes there."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    return f"{tables_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_tables(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; frames that read them can no longer be used.
+
+    Frames are lazy, so the tables must outlive the call that made them. This is done when the driver's
+    process ends, and may be done before.
+    """
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove(spark, tables_dir(spark))
+
+
+def _files(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark reaches; nothing happens if there is none."""
+    files, location = _files(spark, path)
+    files.delete(location, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    files, location = _files(spark, path)
+    if not files.exists(location):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
 def at_once(spark: SparkSession, works: Sequence[Callable[[], R]], limit: int = 8) -> list[R]:

@@ -11,10 +11,14 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epigauge.functions.numeric import nan_to_null
+from epigauge.functions.numeric import finite_or_null
 from epigauge.spec import IndicatorSpec
 
 
+#: Tasks over which a stream deals the copies of one report.
+COPY_TASKS = 16
+
+
 def encode(df: DataFrame, spec: IndicatorSpec, keep: Sequence[str] = ()) -> DataFrame:
     """One JSON text per row, as a message source would carry it, beside the columns to keep."""
     return df.select(F.to_json(F.struct(*spec.record_schema().fieldNames())).alias("value"), *keep)
@@ -28,20 +32,24 @@ def event_time(text: Column, pattern: str) -> Column:
 def decode(raw: DataFrame, spec: IndicatorSpec, value: str = "value") -> DataFrame:
     """Typed columns, event time and ``reject_reason`` (null for a usable record).
 
-    A NaN number is turned into null, since one NaN would make a whole window's sum NaN. A number
-    that does not parse is null too, and the record is kept.
+    NaN and infinite numbers are turned into null, since one of them would spoil a whole window's sum. A
+    number that does not parse is null too, and the record is kept. Event times are held against the
+    column ``arrived`` if the source gives one, else against the present.
     """
     schema = spec.record_schema()
-    text = raw.select(F.col(value).cast("string").alias("raw"))
+    arrived = F.col("arrived") if "arrived" in raw.columns else F.current_timestamp()
+    text = raw.select(F.col(value).cast("string").alias("raw"), arrived.alias("came"))
     fields = _computed_once(text, F.from_json("raw", schema))
     time = event_time(F.col(spec.time_text), spec.time_format)
     timed = _computed_once(fields, F.struct(time.alias(spec.time)))
     doubles = {f.name for f in schema if f.dataType.typeName() == "double"}
-    return timed.select(
+    typed = timed.select(
         "raw",
-        *[nan_to_null(n).alias(n) if n in doubles else F.col(n) for n in schema.fieldNames()],
+        "came",
+        *[finite_or_null(n).alias(n) if n in doubles else F.col(n) for n in schema.fieldNames()],
         spec.time,
-    ).withColumn("reject_reason", _reject_reason(spec))
+    )
+    return typed.withColumn("reject_reason", _reject_reason(spec)).drop("came")
 
 
 def _computed_once(df: DataFrame, fields: Column) -> DataFrame:
@@ -56,11 +64,13 @@ def _computed_once(df: DataFrame, fields: Column) -> DataFrame:
 def _reject_reason(spec: IndicatorSpec) -> Column:
     keys_present = reduce(and_, [F.col(k).isNotNull() for k in spec.key_names])
     nothing_read = reduce(and_, [F.col(c).isNull() for c in spec.record_schema().fieldNames()])
+    time = F.col(spec.time)
     return (
-        F.when(F.col(spec.time).isNotNull() & keys_present, F.lit(None).cast("string"))
-        .when(nothing_read, F.lit("bad_json"))
-        .when(F.col(spec.time).isNull(), F.lit("bad_time"))
-        .otherwise(F.lit("missing_key"))
+        F.when(nothing_read, F.lit("bad_json"))
+        .when(time.isNull(), F.lit("bad_time"))
+        .when(time < F.lit(spec.earliest).cast("timestamp"), F.lit("too_old"))
+        .when(time > F.col("came") + F.expr(f"INTERVAL {spec.lead}"), F.lit("future_time"))
+        .when(~keys_present, F.lit("missing_key"))
     )
 
 
@@ -75,17 +85,13 @@ def rejected(decoded: DataFrame) -> DataFrame:
 def drop_redelivered(reports: DataFrame, spec: IndicatorSpec) -> DataFrame:
     """Keep one report per (event time, keys), for a source that may send a report twice.
 
-    Copies are first dropped inside each Arrow batch, where they arrive, so that a report sent a
-    great many times does not send all its copies to one task; the shuffle then sees a few copies
-    per task. A stream must be watermarked: that bounds what has to be remembered.
+    A batch drops copies before its shuffle. On a stream the copies of a report are first dealt out by the task
+    they came in with, so that one that is sent a great many times does not send all its copies to
+    one task. A stream must be watermarked: that bounds what has to be remembered.
     """
     identity = [spec.time, *spec.key_names]
-
-    def thin(batches):
-        for batch in batches:
-            yield batch.drop_duplicates(identity)
-
-    thinned = reports.mapInPandas(thin, reports.schema)
-    if reports.isStreaming:
-        return thinned.dropDuplicatesWithinWatermark(identity)
-    return thinned.dropDuplicates(identity)
+    if not reports.isStreaming:
+        return reports.dropDuplicates(identity)
+    dealt = reports.withColumn("came_with", F.spark_partition_id() % COPY_TASKS)
+    thinned = dealt.dropDuplicatesWithinWatermark([*identity, "came_with"]).drop("came_with")
+    return thinned.dropDuplicatesWithinWatermark(identity)

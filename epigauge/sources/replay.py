@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,8 +13,10 @@ def records_per_date(reports: DataFrame, date: str) -> DataFrame:
     return reports.groupBy(date).agg(F.count("*").alias("records"))
 
 
-def replay(messages: DataFrame, tick: Column, path: str) -> Iterator:
-    """Append ``messages`` to the folder ``path`` one tick at a time, in tick order; yields each tick.
+def replay(messages: DataFrame, tick: Column, path: str | None, send: Callable[[DataFrame], None] | None = None) -> Iterator:
+    """Hand on ``messages`` one tick at a time, in tick order; yields each tick.
+
+    They are appended to the folder ``path``, or given to ``send`` (a topic takes them the same way).
 
     The caller lets the stream catch up after each tick, so a tick is one micro-batch however many
     files it has. The messages are written once, split by tick, so each step reads only its own
@@ -34,5 +36,9 @@ def replay(messages: DataFrame, tick: Column, path: str) -> Iterator:
     parts = spark.read.parquet(staged)
     ticks = [row.tick for row in parts.select("tick").distinct().toLocalIterator()]
     for one in sorted(ticks, key=lambda t: (t is not None, t)):
-        parts.where(F.col("tick").eqNullSafe(F.lit(one))).select("value").write.mode("append").text(path)
+        now = parts.where(F.col("tick").eqNullSafe(F.lit(one))).select("value")
+        if send:
+            send(now)
+        else:
+            now.write.mode("append").text(path)
         yield one

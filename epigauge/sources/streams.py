@@ -1,10 +1,10 @@
-"""Streaming sources and the message sink, all giving or taking a ``value`` column of JSON text."""
+"""Streaming sources and the message sink: a ``value`` column of JSON text, and when it ``arrived``."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def kafka_records(
@@ -24,7 +24,7 @@ def kafka_records(
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
     )
-    return reader.options(**(options or {})).load().select("value")
+    return reader.options(**(options or {})).load().select("value", F.col("timestamp").alias("arrived"))
 
 
 def kafka_send(messages: DataFrame, servers: str, topic: str) -> None:
@@ -34,11 +34,11 @@ def kafka_send(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def file_records(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """JSON lines from a folder that grows, oldest file first."""
+    """JSON lines from a folder that grows, oldest file first; a record arrived when its file was written."""
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.load(path).select("value", F.col("_metadata.file_modification_time").alias("arrived"))
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

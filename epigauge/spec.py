@@ -55,16 +55,19 @@ PROFILE_METRICS = {
 REGION_LABELS = {0.0: "Rural", 1.0: "Urban"}
 SEVERITY_LABELS = {0: "Low Risk", 1: "Moderate Risk", 2: "High Risk"}
 HEALTH_LABELS = {0: "Safe", 1: "Average", 2: "Critical"}
-HEALTH_COLOURS = {"Safe": "green", "Average": "orange", "Critical": "red"}
 SEVERITY_COLOURS = {"Low Risk": "green", "Moderate Risk": "orange", "High Risk": "red"}
 
-# Days seen in a window are kept as one bit each in a BIGINT.
-MAX_WINDOW_DAYS = 63
+# Numeric columns of a history that are no indicators.
+CALENDAR = ("Year", "Quarter", "Month", "Week", "Day")
 
 
 @dataclass(frozen=True)
 class IndicatorSpec:
-    """Columns and event-time rules of one indicator feed."""
+    """Columns and event-time rules of one indicator feed.
+
+    A report dated before ``earliest``, or more than ``lead`` after it arrived, is set aside: one far date would
+    move the watermark past every honest report.
+    """
 
     keys: tuple[tuple[str, str], ...] = (("State", "string"), ("Region_Index", "double"))
     metrics: tuple[str, ...] = METRICS
@@ -75,10 +78,12 @@ class IndicatorSpec:
     time: str = "timestamp"
     window_days: int = 30
     lateness: str = "2 days"
+    earliest: str = "1900-01-01"
+    lead: str = "2 days"
 
     def __post_init__(self) -> None:
-        if not 1 <= self.window_days <= MAX_WINDOW_DAYS:
-            raise ValueError(f"window_days must be between 1 and {MAX_WINDOW_DAYS}")
+        if self.window_days < 1:
+            raise ValueError("window_days must be at least 1")
         missing = set(self.burden) - set(self.metrics)
         if missing:
             raise ValueError(f"burden names unknown metrics: {sorted(missing)}")

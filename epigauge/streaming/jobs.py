@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from epigauge.operators.windows import watermarked, window_sums
+from epigauge.functions.numeric import all_present
+from epigauge.operators.windows import to_full_window, watermarked, window_sums
 from epigauge.sources.records import accepted, decode, drop_redelivered, rejected
 from epigauge.spec import HEALTH, IndicatorSpec
 from epigauge.streaming.log import PredictionLog
@@ -22,9 +23,9 @@ ROWS_PER_FILE = 500_000
 class StreamOptions:
     """``every`` is a processing interval; None works off what is there and stops.
 
-    ``state_partitions`` counts at the first start on a checkpoint, which keeps it. None takes one
-    per core, at most ``spark.sql.shuffle.partitions``: each costs a commit per micro-batch, and the
-    state of windowed sums is small.
+    ``state_partitions`` counts at the first start on a checkpoint, which keeps it: choose it for the
+    largest cluster the job will have. None takes ``spark.sql.shuffle.partitions``, whatever cores there are
+    at that moment.
     """
 
     checkpoint: str
@@ -35,8 +36,7 @@ class StreamOptions:
     def start(self, spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
         key = "spark.sql.shuffle.partitions"
         general = spark.conf.get(key)
-        wanted = self.state_partitions or min(int(general), spark.sparkContext.defaultParallelism)
-        spark.conf.set(key, wanted)
+        spark.conf.set(key, self.state_partitions or general)
         try:
             return self._start(writer)
         finally:
@@ -76,11 +76,14 @@ def start_log(
     options: StreamOptions,
     output_mode: str = "update",
     score: Callable[[DataFrame], DataFrame] | None = None,
+    needed: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write a stream's changed rows, scored, to the log, one folder per micro-batch.
 
     Scoring comes after the stateful step, so what is kept in the checkpoint does not depend on the
-    model and a new one can be used from the next start. The changed rows are computed once. An empty batch (one follows each move of the watermark) writes nothing, others as few files as
+    model and a new one can be used from the next start. The changed rows are computed once and scored in as
+    many tasks as they came in; rows that miss one of the ``needed`` columns are noted in the log as skipped. An
+    empty batch (one follows each move of the watermark) writes nothing, others as few files as
     their rows need. Errors end the query; on restart the batch is written again in place.
     """
     run_id = run_id_of(rows.sparkSession, options.checkpoint)
@@ -90,8 +93,12 @@ def start_log(
         try:
             changed = batch.count()
             if changed:
-                few = batch.coalesce(1 + changed // ROWS_PER_FILE)
-                log.append(score(few) if score else few, run_id, batch_id)
+                files = 1 + changed // ROWS_PER_FILE
+                # A shuffle of the few scored columns: coalescing would score in as few tasks as there are files.
+                log.append(score(batch).repartition(files) if score else batch.coalesce(files), run_id, batch_id)
+                left_out = batch.where(~all_present(needed)) if score and needed else None
+                if left_out is not None and not left_out.isEmpty():
+                    log.append_skipped(left_out.coalesce(files), run_id, batch_id)
         finally:
             batch.unpersist()
 
@@ -115,12 +122,16 @@ def start_surveillance(
     once_per_report: bool = False,
     output_mode: str = "update",
     name: str | None = None,
+    missing_counts: bool = False,
+    full_windows: bool = False,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """The whole stream: decode, set bad records aside, sum by window, score, log.
 
     Two queries over one source, each with its own checkpoint. ``once_per_report`` drops reports
-    that the source delivers again. The number of shuffle partitions is fixed by the first start
-    on a checkpoint.
+    that the source delivers again, ``missing_counts`` logs how many values each sum lacks, ``full_windows`` scales
+    partly reported windows before they are scored. Windows that cannot be scored are noted in the log. The number
+    of state partitions is fixed by the first start on a checkpoint. If one query cannot start, none runs.
     """
     decoded = decode(records, spec)
     reports = watermarked(accepted(decoded), spec)
@@ -128,15 +139,35 @@ def start_surveillance(
         reports = drop_redelivered(reports, spec)
 
     def options(part: str) -> StreamOptions:
-        return StreamOptions(f"{checkpoint}/{part}", f"{name}-{part}" if name else None, every)
+        return StreamOptions(f"{checkpoint}/{part}", f"{name}-{part}" if name else None, every, state_partitions)
 
-    return [
-        start_log(window_sums(reports, spec), log, options("log"), output_mode, score),
-        start_quarantine(decoded, quarantine_path, options("quarantine")),
-    ]
+    def graded(sums: DataFrame) -> DataFrame:
+        return score(to_full_window(sums, spec) if full_windows else sums)
 
+    sums = window_sums(reports, spec, missing_counts)
+    first = start_log(sums, log, options("log"), output_mode, graded if score else None, spec.features)
+    try:
+        return [first, start_quarantine(decoded, quarantine_path, options("quarantine"))]
+    except BaseException:
+        first.stop()
+        raise
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over the micro-batches the session remembers."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
 
-def finish(queries: list[StreamingQuery]) -> None:
-    """Wait for queries that stop by themselves; the first failure is raised."""
-    for query in queries:
-        query.awaitTermination()
+
+def finish(queries: list[StreamingQuery], look_every: float = 1.0) -> None:
+    """Wait until all queries have stopped; the first failure of any ends the others and is raised."""
+    try:
+        running = list(queries)
+        while running:
+            for query in list(running):
+                if query.awaitTermination(look_every):  # raises what ended the query
+                    running.remove(query)
+    except BaseException:
+        for query in queries:
+            query.stop()
+        raise

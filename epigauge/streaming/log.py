@@ -3,24 +3,27 @@
 Layout below ``root``::
 
     batches/run_id=<r>/batch_id=<b>/   rows of one micro-batch, overwritten if the batch is retried
-    snapshots/<r>-<b>/                 newest row per window and key up to batch b of run r
-    manifest/                          one JSON row per finished snapshot
+    skipped/run_id=<r>/batch_id=<b>/   windows of that micro-batch that could not be scored
+    snapshots/<n>/                     newest row per window and key of all batches folded so far
+    manifest/                          one JSON row per finished snapshot: the last batch folded of each run
 
 ``latest`` is a view over the whole log, so a location that is silent in a batch stays in it.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from epigauge.operators.latest import latest_rows
+from epigauge.operators.windows import with_finality
+from epigauge.session import children, remove
 from epigauge.spec import HEALTH, IndicatorSpec
 
 VERSION = ("run_id", "batch_id")
-MANIFEST_SCHEMA = "run_id bigint, batch_id bigint, path string"
+MANIFEST_SCHEMA = "number bigint, path string, marks array<struct<run_id: bigint, batch_id: bigint>>"
 
 
 @dataclass(frozen=True)
@@ -32,62 +35,111 @@ class PredictionLog:
         """Write one micro-batch; the same batch written again replaces itself."""
         rows.write.mode("overwrite").parquet(f"{self.root}/batches/run_id={run_id}/batch_id={batch_id}")
 
+    def append_skipped(self, rows: DataFrame, run_id: int, batch_id: int) -> None:
+        """Note the windows of a micro-batch that were not scored."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/skipped/run_id={run_id}/batch_id={batch_id}")
+
+    def skipped(self, spark: SparkSession) -> DataFrame:
+        """Windows whose last state could not be scored because a metric is missing."""
+        every = self._rows(spark, "skipped", self._listed(spark, "skipped"))
+        keys = ["window_start", "window_end", *self.spec.key_names]
+        last = latest_rows(every, keys, VERSION)
+        scored = self.windows(spark).select(*keys, F.struct(*VERSION).alias("scored"))
+        same = [last[k].eqNullSafe(scored[k]) for k in keys]
+        newer = scored["scored"] > F.struct(*(last[v] for v in VERSION))
+        return last.join(scored, [*same, newer], "left_anti")
+
     def read(self, spark: SparkSession) -> DataFrame:
-        """The newest snapshot and the batches after it (all batches if there is no snapshot)."""
-        batches = self._batches(spark)
+        """The newest snapshot and, of each run, the batches after the last one that is folded."""
         newest = self._newest_snapshot(spark)
+        marks = dict(newest.marks) if newest else {}
+        after = [(r, b) for r, b in self._listed(spark, "batches") if b > marks.get(r, -1)]
         if newest is None:
-            return batches
-        after = (F.col("run_id") > newest.run_id) | (
-            (F.col("run_id") == newest.run_id) & (F.col("batch_id") > newest.batch_id)
-        )
-        return spark.read.parquet(newest.path).unionByName(batches.where(after))
-
-    def windows(self, spark: SparkSession) -> DataFrame:
-        """The last state of every window and key."""
+            return self._rows(spark, "batches", after)
+        snapshot = spark.read.parquet(newest.path)
+        return snapshot.unionByName(self._rows(spark, "batches", after), allowMissingColumns=True) if after else snapshot
+
+    def windows(self, spark: SparkSession, finality: bool = False) -> DataFrame:
+        """The last state of every window and key; with ``finality`` whether a report can still change it."""
         keys = ["window_start", "window_end", *self.spec.key_names]
-        return latest_rows(self.read(spark), keys, VERSION)
+        states = latest_rows(self.read(spark), keys, VERSION)
+        return with_finality(states, self.spec) if finality else states
 
-    def latest(self, spark: SparkSession) -> DataFrame:
+    def latest(self, spark: SparkSession, finality: bool = False) -> DataFrame:
         """The newest window per key, in its last state."""
-        return latest_rows(self.read(spark), self.spec.key_names, ("window_end", *VERSION))
+        rows = self.read(spark)
+        rows = with_finality(rows, self.spec) if finality else rows
+        return latest_rows(rows, self.spec.key_names, ("window_end", *VERSION))
 
     def changed_in(self, spark: SparkSession, run_id: int, batch_id: int) -> DataFrame:
         """Newest window per key among the rows of one batch only (locations silent in it are absent)."""
-        one = self._batches(spark).where((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
-        return latest_rows(one, self.spec.key_names, ("window_end",))
+        return latest_rows(self._rows(spark, "batches", [(run_id, batch_id)]), self.spec.key_names, ("window_end",))
 
     def compact(self, spark: SparkSession) -> bool:
-        """Fold all batches but the newest (it may still be being written) into a snapshot.
+        """Fold all batches into a snapshot but the newest of each run (it may still be being written).
 
-        Afterwards the folded batch folders are no longer read and may be archived or deleted.
-        Returns False if there is nothing to fold.
+        Runs may write side by side: each has its own mark. Returns False if there is nothing to fold.
         """
-        rows = self.read(spark)
-        versions = rows.select(*VERSION).distinct().orderBy(*[F.desc(v) for v in VERSION]).limit(2).collect()
-        if len(versions) < 2:
-            return False
-        newest, upto = versions
-        snapshot = self._newest_snapshot(spark)
-        if snapshot and (upto.run_id, upto.batch_id) <= (snapshot.run_id, snapshot.batch_id):
+        newest = self._newest_snapshot(spark)
+        marks = dict(newest.marks) if newest else {}
+        runs: dict[int, list[int]] = {}
+        for run, batch in self._listed(spark, "batches"):
+            runs.setdefault(run, []).append(batch)
+        fold = [(r, b) for r, batches in runs.items() for b in sorted(batches)[:-1] if b > marks.get(r, -1)]
+        if not fold:
             return False
-        path = f"{self.root}/snapshots/{upto.run_id}-{upto.batch_id}"
-        done = rows.where((F.col("run_id") != newest.run_id) | (F.col("batch_id") != newest.batch_id))
+        rows = self._rows(spark, "batches", fold)
+        if newest:
+            rows = spark.read.parquet(newest.path).unionByName(rows, allowMissingColumns=True)
+        number = max(time.time_ns(), newest.number + 1 if newest else 0)
+        path = f"{self.root}/snapshots/{number}"
         keys = ["window_start", "window_end", *self.spec.key_names]
-        latest_rows(done, keys, VERSION).write.mode("overwrite").parquet(path)
-        entry = spark.createDataFrame([(upto.run_id, upto.batch_id, path)], MANIFEST_SCHEMA)
-        entry.write.mode("append").json(f"{self.root}/manifest")
+        latest_rows(rows, keys, VERSION).write.parquet(path)
+        for run, batch in fold:
+            marks[run] = max(batch, marks.get(run, -1))
+        entry = spark.createDataFrame([(number, path, sorted(marks.items()))], MANIFEST_SCHEMA)
+        entry.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
         return True
 
-    def _batches(self, spark: SparkSession) -> DataFrame:
-        rows = spark.read.parquet(f"{self.root}/batches")
-        return rows.withColumns({v: F.col(v).cast("bigint") for v in VERSION})
+    def retain(self, spark: SparkSession, grace_seconds: float) -> int:
+        """Delete what a snapshot older than the grace time has folded; returns the number of folders.
+
+        Readers that began before may still use older folders, hence the grace time. Views do not change.
+        """
+        before = time.time_ns() - int(grace_seconds * 1e9)
+        done = [row for row in self._manifest(spark) if row.number <= before]
+        if not done:
+            return 0
+        kept = max(done, key=lambda row: row.number)
+        marks = dict(kept.marks)
+        gone = [f"{self.root}/batches/run_id={r}/batch_id={b}" for r, b in self._listed(spark, "batches") if b <= marks.get(r, -1)]
+        gone += [f"{self.root}/snapshots/{n}" for n in children(spark, f"{self.root}/snapshots") if int(n) < kept.number]
+        for path in gone:
+            remove(spark, path)
+        return len(gone)
+
+    def _listed(self, spark: SparkSession, part: str) -> list[tuple[int, int]]:
+        """Run and batch of every folder; two listings deep, no file is opened."""
+        found = []
+        for run in children(spark, f"{self.root}/{part}"):
+            if run.startswith("run_id="):
+                names = children(spark, f"{self.root}/{part}/{run}")
+                found += [(int(run[7:]), int(name[9:])) for name in names if name.startswith("batch_id=")]
+        return sorted(found)
+
+    def _rows(self, spark: SparkSession, part: str, which: list[tuple[int, int]]) -> DataFrame:
+        """The rows of some batches; only their folders are listed, the schema is that of the newest one."""
+        base = f"{self.root}/{part}"
+        paths = [f"{base}/run_id={r}/batch_id={b}" for r, b in which]
+        if not paths:  # an unreadable log is an error, as a missing folder is
+            return spark.read.parquet(base)
+        schema = spark.read.parquet(paths[-1]).schema.add("run_id", T.LongType()).add("batch_id", T.LongType())
+        return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def _manifest(self, spark: SparkSession) -> list:
+        if not children(spark, f"{self.root}/manifest"):
+            return []
+        return spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/manifest").collect()
 
     def _newest_snapshot(self, spark: SparkSession):
-        try:
-            manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/manifest")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return manifest.orderBy(F.desc("run_id"), F.desc("batch_id")).first()
+        return max(self._manifest(spark), key=lambda row: row.number, default=None)

@@ -8,11 +8,13 @@ from epigauge.operators.cleaning import (
     cleaning_report,
     column_report,
     completeness_report,
+    indicator_columns,
     keep_complete,
     keep_nonzero,
     numeric_columns,
 )
 from epigauge.functions.numeric import any_nonzero
+from epigauge.spec import IndicatorSpec
 from epigauge.operators.features import assembler
 from epigauge.sources.tables import preview, read_csv, require_columns, write_csv
 
@@ -74,3 +76,14 @@ def test_csv_with_and_without_schema(spark, mixed, tmp_path, rows):
 def test_preview_and_guard(mixed):
     assert [r.name for r in preview(mixed, ["name"], 2).collect()] == ["a", "b"]
     assert require_columns(mixed, ["i"]) is mixed
+
+
+def test_calendar_columns_are_no_metrics(spark):
+    """A year is never zero: a row without indicators must go all the same."""
+    spec = IndicatorSpec(metrics=("a",), burden=("a",))
+    df = spark.createDataFrame([("A", 2024, 1, 0.0, 5), ("B", 2024, 2, 3.0, 0)], "State string, Year int, Month int, a double, b int")
+    assert indicator_columns(df, spec) == ["a"]
+    unknown = df.withColumnRenamed("a", "c")
+    assert indicator_columns(unknown, spec) == ["c", "b"]
+    assert indicator_columns(unknown, spec, exclude=["b"]) == ["c"]
+    assert [r.State for r in keep_nonzero(df, indicator_columns(df, spec)).collect()] == ["B"]

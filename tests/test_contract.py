@@ -13,6 +13,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 # Left out by default (``pytest -m slow`` runs them, ``oracle_check.py`` runs everything).
 SLOW = {"model_roundtrip", "stream_update_log", "stream_latest", "stream_once_per_report", "stream_scored"}
+SLOW |= {"stream_holed_reports", "stream_skipped", "score_windows", "severity_train", "feature_importance"}
+# The text operators have tests of their own.
+SLOW |= {name for name in contract.queries() if name.startswith("op") or name == "pipeline"}
 
 
 @pytest.fixture(scope="module")

@@ -32,6 +32,24 @@ def test_histogram_of_equal_scores(spark):
     assert min(r.lower_bound for r in got) == pytest.approx(4.5)
 
 
+@pytest.mark.parametrize("values", [[5.0] * 7, [5.0], []])
+def test_density_of_equal_scores(spark, values):
+    odd = [*values, None, float("nan"), float("inf")]
+    got = density(frame(spark, odd), "score", points=11).orderBy("point").collect()
+    if not values:
+        assert got == []
+        return
+    h = len(values) ** -0.2
+    assert [r["at"] for r in got] == pytest.approx([4.5 + i / 10 for i in range(11)])
+    for r in got:
+        assert r.density == pytest.approx(math.exp(-0.5 * ((r["at"] - 5) / h) ** 2) / (h * math.sqrt(2 * math.pi)))
+
+
+def test_infinite_scores_have_no_bin(spark):
+    got = histogram(frame(spark, [1.0, 2.0, float("inf"), -float("inf")]), "score").collect()
+    assert sum(r.n for r in got) == 2 and all(math.isfinite(r.lower_bound) for r in got)
+
+
 def test_density_equals_the_sum_of_kernels(spark):
     rnd = random.Random(2)
     values = [rnd.uniform(1, 100) for _ in range(80)] + [42.0] * 40

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from epigauge.checks import fixtures
+from epigauge.operators.distribution import density
 from epigauge.operators.latest import latest_rows
 from epigauge.sources.records import accepted, decode
 from epigauge.sources.tables import preview
@@ -64,6 +65,14 @@ def test_preview_sorts_no_more_than_it_shows(spark):
     assert "TakeOrderedAndProject" in plan_of(preview(spark.range(10), ["id"], 3))
 
 
+def test_density_shuffles_no_scores(spark):
+    scores = spark.range(1000).select(F.rand(1).alias("x"))
+    plan = plan_of(density(scores, "x", points=20))
+    assert plan.count("Generate inline") == 1  # of the one row of sums
+    assert "hashpartitioning" not in plan and "explode" not in plan
+    assert all(kind == "SinglePartition" for kind in exchanges(plan))
+
+
 @pytest.mark.parametrize(
     "name",
     ["kpi_summary", "high_risk_alert", "vulnerability_ranking", "score_histogram", "score_density", "kmeans_assign"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from epigauge import session
@@ -31,21 +33,27 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         session.shared_dir(FakeSession())
 
 
-def test_a_local_session_gets_its_own_folder(tmp_path, monkeypatch):
+def test_a_local_session_gets_a_folder_that_goes_with_the_process(monkeypatch):
     class Local(FakeContext):
         master = "local[2]"
-        folder = None
-
-        def getCheckpointDir(self):
-            return self.folder
-
-        def setCheckpointDir(self, path):
-            self.folder = path
 
-    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    monkeypatch.setattr(session, "_local_folders", [])
     local = FakeSession()
     local.sparkContext = Local()
-    assert session.shared_dir(local) == str(tmp_path)
+    path = session.shared_dir(local)
+    assert session.shared_dir(local) == path and os.path.isdir(path)
+    session._local_folders.pop().cleanup()
+    assert not os.path.exists(path)
+
+
+def test_intermediate_tables_are_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{tmp_path}/shared")
+    df = session.materialise(spark.range(10).toDF("a"), "test")
+    path = session.tables_dir(spark)
+    assert df.count() == 10 and session.children(spark, path)
+    session.clear_tables(spark)
+    assert not os.path.exists(path) and session.children(spark, path) == []
+    session.remove(spark, path)
 
 
 def test_materialise_keeps_rows_and_schema(spark, rows):

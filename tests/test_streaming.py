@@ -15,7 +15,15 @@ from epigauge.sources.records import accepted, decode, encode
 from epigauge.sources.replay import records_per_date, replay
 from epigauge.sources.streams import file_records, table_stream
 from epigauge.spec import IndicatorSpec
-from epigauge.streaming.jobs import StreamOptions, finish, run_id_of, start_log, start_surveillance
+from epigauge.streaming.jobs import (
+    StreamOptions,
+    finish,
+    late_rows,
+    run_id_of,
+    start_log,
+    start_quarantine,
+    start_surveillance,
+)
 from epigauge.streaming.log import PredictionLog
 
 SPEC = IndicatorSpec(metrics=("x",), burden=("x",))
@@ -28,13 +36,13 @@ class Feed:
         self.spark, self.folder, self.options = spark, str(folder), options
         self.log = PredictionLog(f"{self.folder}/log", SPEC)
         os.makedirs(f"{self.folder}/in")
-        self.sent = 0
+        self.sent, self.arrived = 0, 1_750_000_000  # June 2025
 
     def send(self, *lines):
         path = f"{self.folder}/in/{self.sent:03d}.json"
         with open(path, "w") as out:
             out.write("\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines))
-        os.utime(path, (1_700_000_000 + self.sent,) * 2)
+        os.utime(path, (self.arrived + self.sent,) * 2)
         self.sent += 1
 
     def run(self, files_per_batch=1, **options):
@@ -113,16 +121,18 @@ def test_run_id_belongs_to_the_checkpoint(spark, tmp_path):
     assert run_id_of(spark, f"{tmp_path}/a") == first
 
 
-def test_state_partitions_are_bounded_by_the_cores(spark, feed):
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
+@pytest.mark.parametrize("chosen", [None, 3])
+def test_state_partitions_are_set_not_guessed(spark, feed, chosen):
+    general = "11"  # more than this session has cores
+    spark.conf.set("spark.sql.shuffle.partitions", general)
     try:
         feed.send(report("01-01-2024", 1))
-        feed.run()
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        feed.run(state_partitions=chosen)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == general
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "2")
     stores = [n for n in os.listdir(f"{feed.folder}/checkpoint/log/state/0") if n.isdigit()]
-    assert len(stores) == spark.sparkContext.defaultParallelism
+    assert len(stores) == (chosen or int(general))
     feed.send(report("02-01-2024", 2))
     feed.run()
     assert feed.states() == {("A", "18-01"): 3.0}
@@ -170,8 +180,105 @@ def test_compaction_changes_no_view(spark, feed, rows):
     assert after != before
     assert log.compact(spark)
     assert views() == after
-    folded = log.read(spark).count()
-    assert folded <= log._batches(spark).count()
+    batches = log._listed(spark, "batches")
+    assert log.retain(spark, 3600) == 0 and views() == after
+    assert log.retain(spark, 0) > 0 and views() == after
+    assert len(log._listed(spark, "batches")) < len(batches)
+    assert len(os.listdir(f"{feed.folder}/log/snapshots")) == 1
+    feed.send(report("07-02-2024", 1, "C"))
+    feed.run()
+    assert len(views()[0]) == len(after[0]) + 1
+
+
+def test_no_batch_of_another_run_is_lost_by_a_compaction(spark, tmp_path, rows):
+    """Two runs write side by side; the older one goes on after its batches were folded."""
+    log = PredictionLog(str(tmp_path), SPEC)
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31)
+
+    def wrote(run, batch, state, x):
+        columns = "window_start timestamp, window_end timestamp, State string, Region_Index double, x double"
+        log.append(spark.createDataFrame([(start, end, state, 0.0, x)], columns), run, batch)
+
+    for batch in range(2):
+        wrote(100, batch, "A", 1.0)
+        wrote(200, batch, "B", 2.0)
+    assert log.compact(spark)
+    wrote(100, 2, "D", 50.0)
+    wrote(100, 3, "C", 7.0)
+    wrote(50, 0, "E", 9.0)
+    want = [("A", 1.0), ("B", 2.0), ("C", 7.0), ("D", 50.0), ("E", 9.0)]
+    assert rows(log.windows(spark), "State", "x") == want
+    assert log.compact(spark) and rows(log.windows(spark), "State", "x") == want
+    log.retain(spark, 0)
+    assert rows(log.windows(spark), "State", "x") == want
+
+
+def test_far_dates_are_set_aside_and_do_not_move_the_watermark(spark, feed, rows):
+    feed.send(report("01-01-2024", 1))
+    feed.send(report("01-01-2042", 5), report("01-01-9999", 5), report("31-12-1899", 5), report("01-01-0001", 5))
+    feed.send(report("02-01-2024", 2), report("03-01-2024", 4), report("04-03-2024", 8))
+    for options in ({}, {"once_per_report": True}):
+        feed.log = PredictionLog(f"{feed.folder}/log{len(options)}", SPEC)
+        source = file_records(spark, f"{feed.folder}/in", 1)
+        bad, checkpoint = f"{feed.folder}/bad{len(options)}", f"{feed.folder}/c{len(options)}"
+        finish(start_surveillance(source, feed.log, bad, checkpoint, SPEC, **options))
+        assert feed.states() == {("A", "18-01"): 7.0, ("A", "18-03"): 8.0}
+        reasons = [r[0] for r in rows(spark.read.parquet(bad), "reject_reason")]
+        assert reasons == ["future_time", "future_time", "too_old", "too_old"]
+
+
+def test_infinite_numbers_count_as_missing(spark, feed, rows):
+    feed.send('{"Date": "01-01-2024", "State": "A", "Region_Index": 0.0, "x": Infinity}', report("02-01-2024", 3))
+    feed.send('{"Date": "01-01-2024", "State": "A", "Region_Index": 0.0, "x": -Infinity}')
+    log = feed.run(missing_counts=True)
+    assert rows(log.windows(spark), "x", "x_missing", "days_seen") == [(3.0, 2, 2)]
+
+
+def test_late_rows_are_counted(spark, feed):
+    for date in ("01-01", "25-02", "26-02", "02-01", "03-01"):
+        feed.send(report(f"{date}-2024", 1))
+    source = file_records(spark, f"{feed.folder}/in", 1)
+    queries = start_surveillance(source, feed.log, f"{feed.folder}/q", f"{feed.folder}/c", SPEC)
+    finish(queries)
+    assert late_rows(queries[0]) == 2
+
+
+def test_windows_that_cannot_be_scored_are_noted(spark, feed, rows):
+    feed.send(report("01-01-2024", None), report("01-01-2024", 2, "B"), report("01-01-2024", None, "C"))
+    feed.send(report("02-01-2024", 5, "C"))
+    log = feed.run(score=lambda sums: sums.where("x is not null"), full_windows=True)
+    assert rows(log.windows(spark), "State", "x") == [("B", 60.0), ("C", 75.0)]
+    assert rows(log.skipped(spark), "State") == [("A",)]
+
+
+def test_a_failure_of_either_query_ends_both(spark, feed):
+    feed.send(report("01-01-2024", 1), "{bad")
+    for part in ("log", "quarantine"):
+        source = file_records(spark, f"{feed.folder}/in")
+        queries = start_surveillance(
+            source, feed.log, f"{feed.folder}/q", f"{feed.folder}/c-{part}", SPEC, every="1 second",
+            score=(lambda df: df.withColumn("x", F.raise_error(F.lit("no model")))) if part == "log" else None,
+        )
+        if part == "quarantine":
+            queries[1].stop()
+            broken = decode(source, SPEC).withColumn("reject_reason", F.raise_error(F.lit("no disk")).cast("string"))
+            queries[1] = start_quarantine(broken, f"{feed.folder}/q2", StreamOptions(f"{feed.folder}/c3", None, "1 second"))
+        with pytest.raises(Exception, match="no model|no disk"):
+            finish(queries, look_every=0.2)
+        assert not any(q.isActive for q in queries)
+
+
+def test_nothing_runs_if_one_query_cannot_start(spark, feed, monkeypatch):
+    feed.send(report("01-01-2024", 1))
+    before = {q.id for q in spark.streams.active}
+
+    def refuse(*args):
+        raise RuntimeError("no quarantine")
+
+    monkeypatch.setattr("epigauge.streaming.jobs.start_quarantine", refuse)
+    with pytest.raises(RuntimeError, match="no quarantine"):
+        feed.run(every="1 second")
+    assert {q.id for q in spark.streams.active} == before
 
 
 def test_nothing_to_compact(spark, feed):

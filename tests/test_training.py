@@ -111,6 +111,20 @@ def test_history_is_cleaned_and_its_region_names_are_kept(spark, windows):
     assert score_windows(windows.limit(1), bundle, SPEC).first().Region == "Urban"
 
 
+@pytest.mark.parametrize("files", [2, 5, 13])
+def test_training_from_history_does_not_depend_on_the_files(spark, windows, monkeypatch, files):
+    monkeypatch.setattr("epigauge.plans.training.ROWS_PER_TASK", 100)
+    region = F.when(F.col("Region_Index") == 1, "Urban").otherwise("Rural")
+    history = windows.select("State", region.alias("Region_Type"), F.lit(2024).alias("Year"), *SPEC.metrics)
+    copies = history.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("n")
+    every = history.union(copies)
+    one, other = (train_on_history(every.repartition(n), SPEC, trees=5) for n in (1, files))
+    assert one.facts["cost"] == pytest.approx(other.facts["cost"], rel=1e-12)
+    assert one.facts["held_out"] == other.facts["held_out"]
+    assert one.forest.featureImportances.toArray() == pytest.approx(other.forest.featureImportances.toArray())
+    assert len(other.facts["features"]) == len(SPEC.features)
+
+
 def test_layout_depends_on_the_row_count_only(windows):
     assert stable_layout(windows, SPEC).rdd.getNumPartitions() == 1
 
