@@ -213,7 +213,9 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
     named = named.join(least, "root").select("digest", "component_id")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     found = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").withColumn("component_id", own)
-    again = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("component_id"))
+    # Dealt out by a value of its own: under the digest alone the copies of a text would stay in one task.
+    found = found.withColumn("row", F.struct("doc_id", "digest"))
+    again = F.row_number().over(Window.partitionBy("row").orderBy("component_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & ((again == 1) | (F.col("n_shingles") == 0))
     return found.withColumn("kept", kept).select("doc_id", "n_shingles", "component_id", "kept")
 

@@ -393,22 +393,21 @@ def remove_repeats(docs: DataFrame, repeats: Repeats | None = None, id_col: str
         removed = removed.unionByName(hot_windows(candidates, repeats))
     cut = cut_out(candidates.dropDuplicates(["node"]) if repeated(rows) else candidates, removed)
     cut = cut.withColumn("cut_sha", F.sha2("kept", 256))
-    changed = firsts.join(cut, "node").select(F.col("sha").alias("of"), "n_removed", "n_spans", "cut_sha", "kept")
+    facts = firsts.join(cut, "node", "left").select("sha", "first_id", "n_removed", "n_spans", "cut_sha", "kept")
     again = F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy("n_bytes"))
-    own = rows.withColumn("again", again).join(firsts.select("sha", "first_id"), "sha")
+    # One join with a row per text: the many copies of a text can be split over tasks.
+    met = rows.withColumn("again", again).join(facts, "sha")
     is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("again") == 1)
-    own = own.withColumn("is_first", is_first)
-    met = own.join(changed, (F.col("sha") == F.col("of")) & F.col("is_first"), "left")
-    whole = ~F.col("is_first") & (F.col("n_bytes") >= repeats.width)
+    whole = ~is_first & (F.col("n_bytes") >= repeats.width)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     zero = F.lit(0).cast("long")
     return met.select(
         "doc_id",
         "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-        F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
-        F.when(whole, nothing).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        "kept",
+        F.when(whole, F.col("n_bytes")).when(is_first, F.coalesce("n_removed", zero)).otherwise(zero).alias("n_removed"),
+        F.when(whole, F.lit(1).cast("long")).when(is_first, F.coalesce("n_spans", zero)).otherwise(zero).alias("n_spans"),
+        F.when(whole, nothing).when(is_first, F.coalesce("cut_sha", "sha")).otherwise(F.col("sha")).alias("kept_sha256"),
+        F.when(is_first, F.col("kept")).alias("kept"),
     )
 
 
