@@ -226,11 +226,11 @@ def linked(nodes: DataFrame, lists: DataFrame, descent: Descent) -> tuple[DataFr
     """
     close = lists.filter(F.col("sim") >= descent.cosine - 1e-4).select(F.col("u").alias("a"), F.col("v").alias("b"))
     clumps = materialise(components(close).join(nodes.select("node", "unit", "weight"), "node"), "clumps")
-    placed = number_within(clumps, ["root"], ["node"], "place", clumps.count())
-    size = placed.withColumn("own", F.floor(F.col("place") / descent.block))
-    blocks = size.groupBy("root").agg((F.max("own") + 1).alias("blocks"))
+    blocks = clumps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / descent.block).alias("blocks"))
+    placed = number_within(clumps, ["root"], ["node"], "place", clumps.count(), attach=blocks)
+    own = F.floor(F.col("place") / descent.block).alias("own")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = size.join(blocks, "root").select("root", "node", "unit", "weight", "own", other)
+    dealt = placed.select("root", "node", "unit", "weight", own, other)
     pair = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "unit", "weight")
     cosine, block = descent.cosine, descent.block
 

@@ -14,4 +14,22 @@ def oracles() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
             FROM t JOIN g USING (content)
         """,
+        "op9_nn_descent": """
+            WITH RECURSIVE v AS (
+                SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            ), links AS (
+                SELECT a.vec_id AS one, b.vec_id AS other
+                FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+                WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+            ), reach(one, other) AS (
+                SELECT vec_id, vec_id FROM v
+                UNION
+                SELECT r.one, l.other FROM reach r JOIN links l ON r.other = l.one
+            ), counted AS (
+                SELECT one, count(*) AS n FROM links GROUP BY one
+            )
+            SELECT r.one AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(r.other) AS component_id,
+                   min(r.other) = r.one AS kept
+            FROM reach r LEFT JOIN counted c ON c.one = r.one GROUP BY r.one
+        """,
     }
