@@ -27,14 +27,15 @@ BLOCK = 100_000
 class NearDup:
     """``percent`` of shared word sequences that links two texts, and the signature that finds them.
 
-    24 bands of 6 miss a pair of similarity 0.85 once in 80,000.
+    24 bands of 6 miss a pair of similarity 0.85 once in 80,000. Of a bucket at most ``centres`` nodes meet
+    all others; a pair beyond that is found in the other buckets it shares.
     """
 
     words: int = 5
     percent: int = 85
     bands: int = 24
     rows: int = 6
-    rounds: int = 10
+    centres: int = 128
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -193,9 +194,8 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
     Equal sets are one node. In each bucket one node is the centre and meets the others, so the pairs grow with
-    the rows; pairs are confirmed on their full sets. Buckets whose nodes are not yet connected get other
-    centres (the node with most links first) until a round brings no new link. Texts without words are
-    linked with nothing. A null id comes after all others. Of repeated rows one is kept. Other columns are not
+    the rows; pairs are confirmed on their full sets. Buckets whose nodes are not yet connected get more
+    centres. Texts without words are linked with nothing. A null id comes after all others. Of repeated rows one is kept. Other columns are not
     looked at. An empty table gives an empty one.
     """
     near = near or NearDup()
@@ -205,8 +205,7 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
     reps = reps.select("digest", F.col("rep.doc_id").alias("rep_id"), F.col("rep.n_shingles").alias("n"), F.col("rep.keys").alias("keys"))
     code = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long").alias("code")
     reps = materialise(reps.select(F.monotonically_increasing_id().alias("node"), code, "*"), "nodes")
-    links = find_links(docs, reps, near, id_col, text_col)
-    roots = components(links)
+    roots = linked_nodes(docs, reps, near, id_col, text_col)
     named = reps.select("node", "digest", "rep_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("rep_id").alias("component_id"))
@@ -220,8 +219,13 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
     return found.withColumn("kept", kept).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def find_links(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
-    """``a, b``: confirmed links between nodes that join every pair of linked nodes into one component."""
+def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
+    """``node, root`` of the nodes with confirmed links: the smallest node that can be reached.
+
+    First one centre of each bucket meets all its nodes. Then, in buckets that hold several components still, 2, 4,
+    8, ... centres do, those of the smallest components first: what stands outside the largest component has
+    met everything else once as many centres were taken.
+    """
     spark = docs.sparkSession
     sizes = reps.select("node", "code", "n")
     dealt = reps.select("node", F.explode("keys").alias("key"))
@@ -230,38 +234,37 @@ def find_links(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, tex
     wanted = buckets.select("node").distinct()
     wanted = reps.select("node", "rep_id", "digest").join(wanted, "node")
     sets = materialise(full_sets(docs, wanted, near, id_col, text_col).dropDuplicates(["node"]), "sets")
-    empty = spark.createDataFrame([], "a long, b long")
-    links, tested = empty, empty
-    for turn in range(near.rounds):
-        if turn:
-            roots = components(links)
-            ends = links.select(F.explode(F.array("a", "b")).alias("node"))
-            degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-            state = sizes.join(roots, "node", "left").join(degree, "node", "left")
-            state = state.select("node", "n", "code", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-        else:
-            state = sizes.withColumns({"root": F.col("node"), "links": F.lit(0)})
+    tested = spark.createDataFrame([], "a long, b long")
+    roots = spark.createDataFrame([], "node long, root long")
+    width = 1
+    while True:
+        state = sizes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         members = buckets.join(state, "node")
-        # Most links first; among equals another node at every turn.
-        order = -F.col("links") * (1 << 40) + F.pmod(F.xxhash64("code", F.lit(turn)), F.lit(1 << 40))
-        centres = members.withColumn("order", order if turn else F.col("code")).groupBy("key").agg(
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            F.min_by("node", "order").alias("a"),
-            F.min_by("root", "order").alias("a_root"),
-            F.min_by("n", "order").alias("a_n"),
-        )
-        met = members.join(centres.filter("low <> high"), "key").filter("root <> a_root")
+        parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+        spread = parts.groupBy("key").agg((F.sum("size") - F.max("size")).alias("outside"), F.count(F.lit(1)).alias("roots"))
+        spread = materialise(spread.filter("roots > 1").select("key", "outside"), "spread")
+        outside = spread.agg(F.max("outside")).first()[0]
+        if outside is None:
+            break
+        apart = members.join(spread, "key").join(parts, ["key", "root"])
+        # The first centre is the same node in all buckets that a group shares, so its pairs are few.
+        order = ["code"] if width == 1 else ["size", F.xxhash64("code", "key")]
+        place = F.row_number().over(Window.partitionBy("key").orderBy(*order))
+        centres = apart.withColumn("place", place).filter(F.col("place") <= width)
+        centres = centres.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
+        met = apart.join(centres, "key").filter("root <> a_root")
         fits = 100 * F.least("n", "a_n") >= near.percent * F.greatest("n", "a_n")
         pairs = met.filter(fits).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "pairs")
-        if pairs.isEmpty():
-            break
+        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         found = materialise(confirmed(pairs, sets, near), "links")
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
-        if turn >= 2 and found.isEmpty():
+        tested = tested.unionByName(pairs)
+        if not found.isEmpty():
+            # What is connected already goes in as stars: few steps are left.
+            roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        if outside <= width or width >= near.centres:
             break
-    return links
+        width *= 2
+    return roots
 
 
 def dedup(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

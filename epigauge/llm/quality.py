@@ -143,10 +143,9 @@ def fit(
     The cut is the quantile of the labelled strengths at the share of bad labels. Without both labels every
     strength is zero. Only ``text_col`` is looked at; ids link labels to texts.
     """
-    chosen = F.broadcast(clean_labels(labels, label_col).withColumnRenamed("doc_id", "labelled"))  # SAMPLE rows
-    known = docs.join(chosen, docs[id_col] == F.col("labelled"))
-    rows = known.select(F.col(id_col).alias("doc_id"), "label", features(F.col(text_col)).alias("features"))
-    rows = materialise(rows, "labelled")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    known = texts.join(F.broadcast(clean_labels(labels, label_col)), "doc_id")  # SAMPLE rows
+    rows = materialise(known.select("doc_id", "label", features(F.col("text")).alias("features")), "labelled")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not (counts.get(0) and counts.get(1)):
         return Ranking((0.0,) * N_FEATURES, 0.0)

@@ -72,7 +72,7 @@ def cover_ranks(text: np.ndarray, size: int, depth: int) -> np.ndarray:
 
 
 def equal_windows(raw: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``starts`` begin the same ``width`` bytes: indexes into ``starts``, and a group number for each.
+    """Which of ``starts`` begin the same ``width`` (at least 16) bytes: indexes into ``starts``, and a group number for each.
 
     Windows without an equal are left out. Suffixes are sorted by their first 16 bytes; ties are put in order
     by the ranks of the cover positions that both reach by a common step; neighbours in the final order are
@@ -312,25 +312,36 @@ def sort_blocks(pieces: DataFrame, repeats: Repeats) -> DataFrame:
 
 
 def hot_windows(candidates: DataFrame, repeats: Repeats) -> DataFrame:
-    """The same for anchors that occur very often: every window goes by its own digest, combined on the way."""
+    """The same for anchors that occur very often: every window goes by its own digest.
+
+    Equal windows of one batch are settled there; only the first of them meets those of other batches.
+    """
     hot = candidates.withColumn("places", F.transform(F.filter("places", lambda p: p < 0), lambda p: -p - 1))
     pieces = windows_of(hot.filter(F.size("places") > 0), repeats)
     width = repeats.width
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            out = []
+            digests, nodes, starts = [], [], []
             for node, start, piece in zip(*(rows.column(c).to_pylist() for c in ("node", "start", "piece")), strict=True):
-                for i in range(len(piece) - width + 1):
-                    out.append((hashlib.blake2b(piece[i : i + width], digest_size=16).digest(), node, start + i))
-            columns = list(zip(*out, strict=True)) or [[], [], []]
-            kinds = (pa.binary(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["digest", "node", "start"])
-
-    windows = materialise(pieces.mapInArrow(deal, "digest binary, node long, start long"), "hot-windows")
-    first = windows.groupBy("digest").agg(F.min(F.struct("node", "start")).alias("first"))
-    met = windows.join(first, "digest").filter((F.col("node") != F.col("first.node")) | (F.col("start") != F.col("first.start")))
-    return met.select("node", F.col("start").alias("lo"), (F.col("start") + width).alias("hi"))
+                many = len(piece) - width + 1
+                digests += [hashlib.blake2b(piece[i : i + width], digest_size=16).digest() for i in range(many)]
+                nodes += [node] * many
+                starts += range(start, start + many)
+            halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+            node, start = np.array(nodes, np.int64), np.array(starts, np.int64)
+            order = np.lexsort((start, node, halves[:, 1], halves[:, 0]))
+            again = np.zeros(len(order), bool)
+            again[1:] = (halves[order[1:]] == halves[order[:-1]]).all(axis=1)
+            columns = [pa.array([digests[i] for i in order], pa.binary()), pa.array(node[order]), pa.array(start[order]), pa.array(again)]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "node", "start", "again"])
+
+    windows = materialise(pieces.mapInArrow(deal, "digest binary, node long, start long, again boolean"), "hot-windows")
+    left = windows.filter("not again")
+    first = materialise(left.groupBy("digest").agg(F.min(F.struct("node", "start")).alias("first")), "hot-firsts")
+    met = left.join(first, "digest").filter((F.col("node") != F.col("first.node")) | (F.col("start") != F.col("first.start")))
+    gone = windows.filter("again").select("node", "start").unionByName(met.select("node", "start"))
+    return gone.select("node", F.col("start").alias("lo"), (F.col("start") + width).alias("hi"))
 
 
 def cut_out(candidates: DataFrame, removed: DataFrame) -> DataFrame:

@@ -106,9 +106,9 @@ def fit(
     Of the bins the FEATURES with the largest likelihood ratio are used; at most so many come to the driver.
     Without both labels all weights are zero. Only ``text_col`` is looked at; ids link labels to texts.
     """
-    known_labels = clean_labels(labels, label_col, sample=SAMPLE).withColumnRenamed("doc_id", "labelled")
-    known = docs.join(F.broadcast(known_labels), docs[id_col] == F.col("labelled"))  # SAMPLE rows
-    rows = materialise(known.select(text_of(text_col).alias("text"), "label"), "labelled-texts")
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    known = texts.join(F.broadcast(clean_labels(labels, label_col, sample=SAMPLE)), "doc_id")  # SAMPLE rows
+    rows = materialise(known.select("text", "label"), "labelled-texts")
     totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return Toxicity(np.zeros(0, np.int64), np.zeros(0), 0.0)
