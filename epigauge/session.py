@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -63,7 +64,7 @@ def tables_dir(spark: SparkSession) -> str:
     path = f"{shared_dir(spark)}/epigauge-{spark.sparkContext.applicationId}"
     if path not in _cleared_at_exit:
         _cleared_at_exit.add(path)
-        atexit.register(clear_tables, spark)
+        atexit.register(_clear_quietly, spark)
     return path
 
 
@@ -82,6 +83,11 @@ def clear_tables(spark: SparkSession) -> None:
         remove(spark, tables_dir(spark))
 
 
+def _clear_quietly(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by now
+        clear_tables(spark)
+
+
 def _files(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
