@@ -85,12 +85,13 @@ def exact_groups(
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    groups = materialise(exact_groups(docs, id_col, text_col).filter("kept"), "kept-exact")
-    wanted = groups.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    keys = [F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")]
+    gone = exact_groups(docs, id_col, text_col).groupBy(*keys).agg(F.bool_or("kept").alias("kept"))
+    gone = materialise(gone.filter("not kept").drop("kept"), "gone-exact")
     digest = free_name(docs, "digest")
     marked = docs.withColumn(digest, sha(normal(F.col(text_col))))
-    same = marked[id_col].eqNullSafe(wanted["kept_id"]) & (marked[digest] == wanted["kept_digest"])
-    left = marked.join(wanted, same, "left_semi")
+    same = marked[id_col].eqNullSafe(gone["gone_id"]) & (marked[digest] == gone["gone_digest"])
+    left = marked.join(gone, same, "left_anti")
     # Only repeated ids can leave more rows than were kept.
     if not docs.groupBy(id_col).count().filter("count > 1").isEmpty():
         left = left.dropDuplicates([id_col, digest])

@@ -269,6 +269,8 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
 
 def dedup(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the documents that stay, with all their columns; rows that share an id go together."""
-    groups = near_groups(docs, near, id_col, text_col).filter("kept")
-    wanted = materialise(groups.select(F.col("doc_id").alias("kept_id")).distinct(), "kept-near")
-    return docs.join(wanted, docs[id_col].cast("long").eqNullSafe(wanted["kept_id"]), "left_semi")
+    groups = near_groups(docs, near, id_col, text_col)
+    # The ids that go are the smaller side by far: few enough, Spark sends them instead of moving all texts.
+    gone = groups.groupBy(F.col("doc_id").alias("gone_id")).agg(F.bool_or("kept").alias("kept"))
+    gone = materialise(gone.filter("not kept").select("gone_id"), "gone-near")
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
