@@ -27,15 +27,15 @@ BLOCK = 100_000
 class NearDup:
     """``percent`` of shared word sequences that links two texts, and the signature that finds them.
 
-    24 bands of 6 miss a pair of similarity 0.85 once in 80,000. Of a bucket at most ``centres`` nodes meet
-    all others; a pair beyond that is found in the other buckets it shares.
+    24 bands of 6 miss a pair of similarity 0.85 once in 80,000. ``centres`` are the nodes of a bucket that
+    meet its others in each turn; they differ over the about nine buckets that a linked pair shares.
     """
 
     words: int = 5
     percent: int = 85
     bands: int = 24
     rows: int = 6
-    centres: int = 128
+    centres: tuple[int, ...] = (1, 1, 2, 4)
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -222,9 +222,8 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
 def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
     """``node, root`` of the nodes with confirmed links: the smallest node that can be reached.
 
-    First one centre of each bucket meets all its nodes. Then, in buckets that hold several components still, 2, 4,
-    8, ... centres do, those of the smallest components first: what stands outside the largest component has
-    met everything else once as many centres were taken.
+    In every turn some centres of each bucket that holds several components still meet its other components,
+    so the pairs grow with the rows however large a group is.
     """
     spark = docs.sparkSession
     sizes = reps.select("node", "code", "n")
@@ -236,23 +235,25 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
     sets = materialise(full_sets(docs, wanted, near, id_col, text_col).dropDuplicates(["node"]), "sets")
     tested = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
-    width = 1
-    while True:
+    for turn, width in enumerate(near.centres):
         state = sizes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         members = buckets.join(state, "node")
         parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-        spread = parts.groupBy("key").agg((F.sum("size") - F.max("size")).alias("outside"), F.count(F.lit(1)).alias("roots"))
-        spread = materialise(spread.filter("roots > 1").select("key", "outside"), "spread")
-        outside = spread.agg(F.max("outside")).first()[0]
-        if outside is None:
+        spread = parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+        spread = materialise(spread.select("key"), "spread")
+        if spread.isEmpty():
             break
         apart = members.join(spread, "key").join(parts, ["key", "root"])
-        # The first centre is the same node in all buckets that a group shares, so its pairs are few.
-        order = ["code"] if width == 1 else ["size", F.xxhash64("code", "key")]
-        place = F.row_number().over(Window.partitionBy("key").orderBy(*order))
-        centres = apart.withColumn("place", place).filter(F.col("place") <= width)
-        centres = centres.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
-        met = apart.join(centres, "key").filter("root <> a_root")
+        # The first centre is the same node in all buckets that a group shares, so its pairs are few; later
+        # ones differ from bucket to bucket, and stand in small components where there are some.
+        drawn = F.col("size") * (1 << 40) + F.pmod(F.xxhash64("code", "key", F.lit(turn)), F.lit(1 << 40))
+        order = drawn if turn else F.col("code")
+        slot = F.pmod(F.xxhash64("code", F.lit(turn)), F.lit(width)).alias("slot")
+        ordered = apart.withColumn("order", order)
+        centres = ordered.groupBy("key", slot).agg(
+            F.min_by("node", "order").alias("a"), F.min_by("root", "order").alias("a_root"), F.min_by("n", "order").alias("a_n")
+        )
+        met = apart.join(centres.drop("slot"), "key").filter("root <> a_root")
         fits = 100 * F.least("n", "a_n") >= near.percent * F.greatest("n", "a_n")
         pairs = met.filter(fits).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -261,9 +262,6 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
         if not found.isEmpty():
             # What is connected already goes in as stars: few steps are left.
             roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        if outside <= width or width >= near.centres:
-            break
-        width *= 2
     return roots
 
 
