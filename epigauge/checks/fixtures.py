@@ -101,11 +101,14 @@ def separated(window_table: DataFrame) -> DataFrame:
     """
     truth = F.substring("State", 2, 2).cast("int") % 3
     far = {m: (truth + 1) * F.lit(1000.0 * (1 + i % 3)) + F.col(m) % 5 for i, m in enumerate(METRICS)}
-    return window_table.withColumns({**far, "truth": truth})
+    kept = [c for c in window_table.columns if c not in METRICS]
+    # Through inline, so that what follows does not work the expressions out again for every use.
+    made = F.struct(*[value.alias(m) for m, value in far.items()], truth.alias("truth"))
+    return window_table.select(*kept, F.inline(F.array(made)))
 
 
 def separated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return separated(windows(spark, sf_dir))
+    return materialise(separated(windows(spark, sf_dir)), "separated")
 
 
 def with_rule_predictions(window_table: DataFrame) -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from epigauge.functions.numeric import is_finite
 
 
+#: Grid points whose sums are formed in one pass; more make the generated code of the aggregate slow.
+POINTS_AT_ONCE = 50
+
+
 def histogram(df: DataFrame, score: str, bins: int = 30) -> DataFrame:
     """Equal-width bins from minimum to maximum, empty ones included, the maximum in the last bin.
 
@@ -34,37 +40,33 @@ def histogram(df: DataFrame, score: str, bins: int = 30) -> DataFrame:
 def density(df: DataFrame, score: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum, bandwidth by Scott's rule.
 
-    Exact: each score adds its kernel to every grid point, and the points are the columns of one aggregate, so
-    no score is shuffled. If all scores are equal (or there is one) the grid is half a unit to each side and
+    Exact: each score adds its kernel to every grid point, and the points are the columns of aggregates without
+    a key, so no score is shuffled; one row of sums at a time comes back. If all scores are equal (or there is one) the grid is half a unit to each side and
     the deviation counts as one.
     """
-    scores = df.where(is_finite(score)).select(F.col(score).alias("x"))
+    scores = df.where(is_finite(score)).select(F.col(score).alias("x")).persist()
+    try:
+        return _density(scores, points)
+    finally:
+        scores.unpersist()
+
+
+def _density(scores: DataFrame, points: int) -> DataFrame:
     some = F.coalesce(F.stddev_samp("x"), F.lit(0.0))
-    alone = (F.min("x") == F.max("x")) | (some == 0)
-    stats = scores.agg(
-        F.struct(
-            F.when(alone, F.min("x") - 0.5).otherwise(F.min("x")).alias("low"),
-            F.when(alone, F.max("x") + 0.5).otherwise(F.max("x")).alias("high"),
-            F.count("x").cast("double").alias("n"),
-            (F.when(alone, F.lit(1.0)).otherwise(some) * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("h"),
-        ).alias("stats")
-    )
-    low, step, n, h = (f"s.{name}" for name in ("low", "step", "n", "h"))
-    step_of = ((F.col("stats.high") - F.col("stats.low")) / F.lit(float(points - 1))).alias("step")
-    found = stats.select(F.struct("stats.low", step_of, "stats.n", "stats.h")).scalar()
-    kernels = []
-    for point in range(points):
-        away = (F.col(low) + F.lit(float(point)) * F.col(step) - F.col("x")) / F.col(h)
-        kernels.append(F.sum(F.exp(F.lit(-0.5) * away * away)).alias(f"k{point}"))
-    sums = scores.withColumn("s", found).agg(F.first("s").alias("s"), *kernels).where("s is not null")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(point).alias("point"),
-                (F.col(low) + F.lit(float(point)) * F.col(step)).alias("at"),
-                (F.col(f"k{point}") / (F.col(n) * F.col(h) * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
-            )
-            for point in range(points)
-        ]
-    )
-    return sums.select(F.inline(rows))
+    found = scores.agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("n"), some.alias("s")).first()
+    low, high, n, deviation = found["low"], found["high"], found["n"], found["s"]
+    schema = "point int, at double, density double"
+    if not n:
+        return scores.sparkSession.createDataFrame([], schema)
+    if low == high or deviation == 0:
+        low, high, deviation = low - 0.5, high + 0.5, 1.0
+    h, step = deviation * n**-0.2, (high - low) / (points - 1)
+    grid = [low + point * step for point in range(points)]
+    whole = n * h * math.sqrt(2 * math.pi)
+    rows = []
+    for first in range(0, points, POINTS_AT_ONCE):
+        part = range(first, min(first + POINTS_AT_ONCE, points))
+        kernels = [F.sum(F.exp(F.lit(-0.5 / (h * h)) * (F.lit(grid[p]) - F.col("x")) * (F.lit(grid[p]) - F.col("x")))).alias(f"k{p}") for p in part]
+        sums = scores.agg(*kernels).first()
+        rows += [(p, grid[p], sums[f"k{p}"] / whole) for p in part]
+    return scores.sparkSession.createDataFrame(rows, schema)
