@@ -641,7 +641,7 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest window per location from a log of two runs, one for each line status, compacted between them."""
     base = run_dir(spark, "stream")
     log = PredictionLog(f"{base}/log")
-    ticks = {"early": 2, "late": 1}
+    ticks = {"early": 4, "late": 3}  # years per micro-batch
 
     def survey(run: str, region: float) -> None:
         daily = fixtures.daily_reports(spark, sf_dir).where(F.col("Region_Index") == region)
