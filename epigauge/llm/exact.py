@@ -85,14 +85,18 @@ def exact_groups(
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    keys = [F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")]
-    gone = exact_groups(docs, id_col, text_col).groupBy(*keys).agg(F.bool_or("kept").alias("kept"))
-    gone = materialise(gone.filter("not kept").drop("kept"), "gone-exact")
+    groups = exact_groups(docs, id_col, text_col).groupBy("doc_id", "digest").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    groups = materialise(groups, "decided")
+    # Ids of which nothing stays: all that is sent, or moved, beside the texts.
+    gone = groups.groupBy(F.col("doc_id").alias("gone_id")).agg(F.bool_or("kept").alias("kept"))
+    gone = materialise(gone.filter("not kept").select("gone_id"), "gone-exact")
+    left = docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    shared = groups.groupBy("doc_id").agg(F.sum("rows").alias("rows")).filter("rows > 1")
+    if shared.isEmpty():
+        return left
+    # Ids that several rows share are decided by text, and rows that stand there twice stay once.
     digest = free_name(docs, "digest")
-    marked = docs.withColumn(digest, sha(normal(F.col(text_col))))
-    same = marked[id_col].eqNullSafe(gone["gone_id"]) & (marked[digest] == gone["gone_digest"])
-    left = marked.join(gone, same, "left_anti")
-    # Only repeated ids can leave more rows than were kept.
-    if not docs.groupBy(id_col).count().filter("count > 1").isEmpty():
-        left = left.dropDuplicates([id_col, digest])
-    return left.drop(digest)
+    marked = left.withColumn(digest, sha(normal(F.col(text_col))))
+    part = groups.filter("not kept").select(F.col("doc_id").alias("part_id"), F.col("digest").alias("part_digest"))
+    same = marked[id_col].eqNullSafe(part["part_id"]) & (marked[digest] == part["part_digest"])
+    return marked.join(part, same, "left_anti").dropDuplicates([id_col, digest]).drop(digest)

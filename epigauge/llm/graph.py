@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from epigauge.session import materialise
@@ -27,11 +27,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         joined = large.join(low, "u")
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        now = materialise(small, "edges")
-        state = now.agg(F.count(F.lit(1)), F.sum(mark("u", "v"))).first()
-        if tuple(state) == known:
+        # Seen while it is written, without a job of its own: whether the table still changes.
+        seen = Observation()
+        now = materialise(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(mark("u", "v")).alias("s")), "edges")
+        state = seen.get
+        if state == known:
             break
-        known = tuple(state)
+        known = state
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     own = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return roots.unionByName(own).select(F.col("node").cast(kind), F.col("root").cast(kind))

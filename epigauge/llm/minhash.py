@@ -35,7 +35,7 @@ class NearDup:
     percent: int = 85
     bands: int = 24
     rows: int = 6
-    centres: tuple[int, ...] = (1, 1, 2, 4)
+    centres: tuple[int, ...] = (1, 2, 4)
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
