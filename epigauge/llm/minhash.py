@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from epigauge.llm.common import text_of
+from epigauge.llm.common import number_within, text_of
 from epigauge.llm.graph import components
+from epigauge.llm.nndescent import runs
 from epigauge.session import materialise
 
 #: Attempts of a densified bin before it takes the first filled one.
@@ -28,7 +29,8 @@ class NearDup:
     """``percent`` of shared word sequences that links two texts, and the signature that finds them.
 
     24 bands of 6 miss a pair of similarity 0.85 once in 80,000. ``centres`` are the nodes of a bucket that
-    meet its others in each turn; they differ over the about nine buckets that a linked pair shares.
+    meet its others in each turn; they differ over the about nine buckets that a linked pair shares. What
+    they leave open in a bucket is compared ``block`` nodes with ``block`` nodes.
     """
 
     words: int = 5
@@ -36,6 +38,7 @@ class NearDup:
     bands: int = 24
     rows: int = 6
     centres: tuple[int, ...] = (1, 2, 4)
+    block: int = 256
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -195,7 +198,7 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
 
     Equal sets are one node. In each bucket one node is the centre and meets the others, so the pairs grow with
     the rows; pairs are confirmed on their full sets. Buckets whose nodes are not yet connected get more
-    centres. Texts without words are linked with nothing. A null id comes after all others. Of repeated rows one is kept. Other columns are not
+    centres, and what these leave open is compared in full. Texts without words are linked with nothing. A null id comes after all others. Of repeated rows one is kept. Other columns are not
     looked at. An empty table gives an empty one.
     """
     near = near or NearDup()
@@ -223,26 +226,31 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
     """``node, root`` of the nodes with confirmed links: the smallest node that can be reached.
 
     In every turn some centres of each bucket that holds several components still meet its other components,
-    so the pairs grow with the rows however large a group is.
+    so the pairs grow with the rows however large a group is. Nodes that were never centre of a bucket and stay
+    apart in it are compared in full after that.
     """
     spark = docs.sparkSession
     sizes = reps.select("node", "code", "n")
     dealt = reps.select("node", F.explode("keys").alias("key"))
     crowded = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("key")
-    buckets = materialise(dealt.join(crowded, "key"), "buckets")
+    buckets = materialise(dealt.distinct().join(crowded, "key"), "buckets")
     wanted = buckets.select("node").distinct()
     wanted = reps.select("node", "rep_id", "digest").join(wanted, "node")
     sets = materialise(full_sets(docs, wanted, near, id_col, text_col).dropDuplicates(["node"]), "sets")
     tested = spark.createDataFrame([], "a long, b long")
+    links = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
+    done = spark.createDataFrame([], "key long, node long")
     for turn, width in enumerate(near.centres):
         state = sizes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        ends = links.select(F.explode(F.array("a", "b")).alias("node"))
+        state = state.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "node", "left")
         members = buckets.join(state, "node")
         parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
         spread = parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots")).filter("roots > 1")
         spread = materialise(spread.select("key"), "spread")
         if spread.isEmpty():
-            break
+            return roots
         apart = members.join(spread, "key").join(parts, ["key", "root"])
         # The first centre is the same node in all buckets that a group shares, so its pairs are few; later
         # ones differ from bucket to bucket, and stand in small components where there are some.
@@ -250,19 +258,98 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
         order = drawn if turn else F.col("code")
         slot = F.pmod(F.xxhash64("code", F.lit(turn)), F.lit(width)).alias("slot")
         ordered = apart.withColumn("order", order)
-        centres = ordered.groupBy("key", slot).agg(
-            F.min_by("node", "order").alias("a"), F.min_by("root", "order").alias("a_root"), F.min_by("n", "order").alias("a_n")
-        )
-        met = apart.join(centres.drop("slot"), "key").filter("root <> a_root")
+
+        def first(by: str) -> list[Column]:
+            return [F.min_by(c, by).alias(a) for c, a in (("node", "a"), ("root", "a_root"), ("n", "a_n"))]  # noqa: B023
+
+        centres = ordered.groupBy("key", slot).agg(*first("order")).drop("slot")
+        if turn:
+            # A node with many links resembles much of its bucket: the one with most is a centre, too.
+            hubs = apart.filter("links > 0").withColumn("order", F.struct(-F.col("links"), "code"))
+            centres = centres.unionByName(hubs.groupBy("key").agg(*first("order")))
+        centres = materialise(centres, "centres")
+        done = done.unionByName(centres.select("key", F.col("a").alias("node")))
+        met = apart.join(centres, "key").filter("root <> a_root")
         fits = 100 * F.least("n", "a_n") >= near.percent * F.greatest("n", "a_n")
         pairs = met.filter(fits).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         found = materialise(confirmed(pairs, sets, near), "links")
         tested = tested.unionByName(pairs)
+        links = links.unionByName(found)
         if not found.isEmpty():
-            # What is connected already goes in as stars: few steps are left.
-            roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    return roots
+            roots = grown(roots, found)
+    found = materialise(open_links(buckets, sizes, roots, done, sets, near), "links")
+    return roots if found.isEmpty() else grown(roots, found)
+
+
+def grown(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """Components with new links; what is connected already goes in as stars, so few steps are left."""
+    return components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def open_links(buckets: DataFrame, sizes: DataFrame, roots: DataFrame, done: DataFrame, sets: DataFrame, near: NearDup) -> DataFrame:
+    """``a, b`` that connect all linked nodes which share a bucket, are not connected and were never centre there.
+
+    The nodes of a bucket are dealt into blocks. Two blocks meet in one place and only links that connect something
+    new leave it. A component that fills a block has blocks of its own, which do not meet each other.
+    """
+    state = sizes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    members = buckets.join(done, ["key", "node"], "left_anti").join(state, "node")
+    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    spread = parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots")).filter("roots > 1").select("key")
+    pool = F.when(F.col("size") >= near.block, F.col("root")).otherwise(-1).alias("pool")
+    left = members.join(spread, "key").join(parts, ["key", "root"]).select("key", "node", "root", pool)
+    left = materialise(left, "open")
+    placed = number_within(left, ["key", "pool"], ["node"], "place", left.count())
+    placed = materialise(placed.withColumn("part", F.floor(F.col("place") / near.block)).drop("place"), "blocks")
+    blocks = placed.select("key", "pool", "part").distinct()
+    blocks = blocks.withColumn("own", F.row_number().over(Window.partitionBy("key").orderBy("pool", "part")))
+    blocks = materialise(blocks, "blocks")
+    ours = blocks.select("key", F.col("own").alias("i"), F.col("pool").alias("pool_i"))
+    theirs = blocks.select("key", F.col("own").alias("j"), F.col("pool").alias("pool_j"))
+    meet = ours.join(theirs, "key").filter("i <= j and (pool_i <> pool_j or pool_i = -1)").select("key", "i", "j")
+    ends = meet.withColumn("own", F.explode(F.array_distinct(F.array("i", "j"))))
+    rows = placed.join(blocks, ["key", "pool", "part"]).join(ends, ["key", "own"]).join(sets, "node")
+    percent, block = near.percent, near.block
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, other = [], []
+        for met in runs(batches, ("key", "i", "j"), 2 * block):
+            ids, root, own = (met.column(c).to_numpy() for c in ("node", "root", "own"))
+            hashes = [np.frombuffer(h, np.uint64) for h in met.column("hashes").to_pylist()]
+            for x, y in connecting(hashes, root, own == own.min(), own == own.max(), percent):
+                one.append(min(ids[x], ids[y]))
+                other.append(max(ids[x], ids[y]))
+        yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], ["a", "b"])
+
+    dealt = rows.select("key", "i", "j", "own", "node", "root", "hashes").repartition("key", "i", "j")
+    return dealt.sortWithinPartitions("key", "i", "j", "own", "node").mapInArrow(compare, "a long, b long").distinct()
+
+
+def connecting(sets: list[np.ndarray], roots: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Similar pairs of a left and a right set that join two components, as positions."""
+    sizes = np.array([len(s) for s in sets])
+    group = np.unique(roots, return_inverse=True)[1]
+    if group.max() == 0:
+        return
+    code = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+    marked = np.zeros(max(int(c.max()) for c in code) + 1, bool)
+    both_sides = left & right
+    for x in np.flatnonzero(left):
+        fits = 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
+        meet = right & fits & (group != group[x])
+        meet[: x + 1] &= ~both_sides[: x + 1]
+        others = np.flatnonzero(meet)
+        if not len(others):
+            continue
+        marked[code[x]] = True
+        first = np.cumsum(sizes[others]) - sizes[others]
+        both = np.add.reduceat(marked[np.concatenate([code[y] for y in others])], first, dtype=np.int64)
+        marked[code[x]] = False
+        for y in others[100 * both >= percent * (sizes[x] + sizes[others] - both)]:
+            if group[x] != group[y]:
+                group[group == group[y]] = group[x]
+                yield int(x), int(y)
 
 
 def dedup(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

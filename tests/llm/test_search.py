@@ -150,6 +150,31 @@ def test_other_centres_join_what_the_first_one_misses(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == roots(sets, links)
 
 
+def variants_of_a_hub(n, seed=3):
+    """The hub, and texts that resemble it, and hardly one of them another."""
+    rng = random.Random(seed)
+    base = [f"h{i}" for i in range(200)]
+    rows = [(10, " ".join(base))]
+    for v in range(n):
+        text = list(base)
+        for at in rng.sample(range(5, 195, 10), 2):
+            text[at + rng.randrange(3)] = f"v{v}x{at}"
+        text[rng.choice((60, 110, 160))] = f"v{v}y"
+        rows.append((20 + v, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("near", [minhash.NearDup(), minhash.NearDup(centres=(1,), block=32)])
+def test_a_hub_keeps_all_its_variants(spark, near):
+    rows = variants_of_a_hub(2000)
+    sets = {i: shingles(t) for i, t in rows}
+    hub = sets[10]
+    near_hub = {i for i in sets if 100 * len(sets[i] & hub) >= 85 * len(sets[i] | hub)}
+    assert len(near_hub) > 1900
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), near).collect()
+    assert [r["doc_id"] for r in got if r["doc_id"] in near_hub and r["component_id"] != 10] == []
+
+
 def test_no_texts(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_groups(none).count() == 0 and minhash.dedup(none).count() == 0
