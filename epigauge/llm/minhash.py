@@ -254,8 +254,7 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
         apart = members.join(spread, "key").join(parts, ["key", "root"])
         # The first centre is the same node in all buckets that a group shares, so its pairs are few; later
         # ones differ from bucket to bucket, and stand in small components where there are some.
-        drawn = F.col("size") * (1 << 40) + F.pmod(F.xxhash64("code", "key", F.lit(turn)), F.lit(1 << 40))
-        order = drawn if turn else F.col("code")
+        order = drawn(turn) if turn else F.col("code")
         slot = F.pmod(F.xxhash64("code", F.lit(turn)), F.lit(width)).alias("slot")
         ordered = apart.withColumn("order", order)
 
@@ -282,6 +281,11 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
     return roots if found.isEmpty() else grown(roots, found)
 
 
+def drawn(turn: int) -> Column:
+    """Small components first, their nodes in an order of the bucket's own; for components of any size."""
+    return F.struct("size", F.xxhash64("code", "key", F.lit(turn)))
+
+
 def grown(roots: DataFrame, found: DataFrame) -> DataFrame:
     """Components with new links; what is connected already goes in as stars, so few steps are left."""
     return components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))

@@ -175,6 +175,12 @@ def test_a_hub_keeps_all_its_variants(spark, near):
     assert [r["doc_id"] for r in got if r["doc_id"] in near_hub and r["component_id"] != 10] == []
 
 
+def test_centres_are_drawn_from_components_of_any_size(spark):
+    nodes = [(n, size, 3, 4) for n, size in enumerate((1 << 50, 1 << 23, 1 << 30))]
+    frame = spark.createDataFrame(nodes, "node long, size long, code long, key long")
+    assert frame.withColumn("order", minhash.drawn(1)).selectExpr("min_by(node, order)").first()[0] == 1
+
+
 def test_no_texts(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_groups(none).count() == 0 and minhash.dedup(none).count() == 0
