@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -217,21 +216,102 @@ def refined(nodes: DataFrame, lists: DataFrame, descent: Descent, turn: int) ->
     return dealt.select("at", "node", "small", "bar").mapInArrow(join, EDGE)
 
 
-def linked(nodes: DataFrame, lists: DataFrame, descent: Descent) -> tuple[DataFrame, DataFrame]:
+def in_blocks(rows: DataFrame, group: str, order: str, size: int) -> DataFrame:
+    """Every two blocks (``i``, ``j``) of ``size`` rows of a group in one place; ``own`` is the block of a row."""
+    blocks = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / size).alias("blocks"))
+    placed = number_within(rows, [group], [order], "place", rows.count(), attach=blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = placed.select(*rows.columns, F.floor(F.col("place") / size).alias("own"), other)
+    pair = dealt.select(*rows.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+    return pair.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", order)
+
+
+def clumped(nodes: DataFrame, lists: DataFrame, descent: Descent) -> DataFrame:
+    """``node, root`` of vectors connected by links close to the bound, those behind full lists included."""
+    close = lists.filter(F.col("sim") >= descent.cosine - 1e-4).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    clumps = materialise(components(close), "clumps")
+    more = bridges(nodes, lists, clumps, descent)
+    if more is None or more.isEmpty():
+        return clumps
+    stars = clumps.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return materialise(components(stars.unionByName(more)), "clumps")
+
+
+def bridges(nodes: DataFrame, lists: DataFrame, clumps: DataFrame, descent: Descent) -> DataFrame | None:
+    """``a, b``: a link for each two clumps that are linked between vectors whose lists are full of links.
+
+    Such lists hide links to other clumps. A clump's full vectors are dealt into cells with a centre and a widest
+    angle; two cells of different clumps whose angles leave room for a link are compared in full.
+    """
+    cosine, block = descent.cosine, descent.block
+    full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"))
+    full = full.filter((F.col("n") >= descent.neighbours) & (F.col("low") >= cosine - 1e-4)).select(F.col("u").alias("node"))
+    rows = clumps.join(full, "node").join(nodes.select("node", "block", "unit"), "node")
+    rows = materialise(rows, "full")
+    if rows.groupBy("block").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").isEmpty():
+        return None
+    placed = number_within(rows, ["root"], ["node"], "place", rows.count())
+    placed = placed.select("block", "root", F.floor(F.col("place") / block).alias("part"), "node", "unit")
+    placed = materialise(placed, "placed")
+
+    def centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for cell in runs(batches, ("root", "part"), block):
+            x = matrix(cell.column("unit").combine_chunks(), "f8")
+            c = x.mean(axis=0)
+            size = np.sqrt(c @ c)
+            c = c / size if size > 1e-6 else x[0]
+            wide = float(np.arccos(np.clip(x @ c, -1, 1)).max())
+            out.append((*(cell.column(k)[0].as_py() for k in ("block", "root", "part")), c.tobytes(), wide))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.float64())
+        columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
+        names = ["block", "root", "part", "centre", "wide"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    cells = placed.repartition("root", "part").sortWithinPartitions("root", "part")
+    cells = cells.mapInArrow(centre, "block long, root long, part long, centre binary, wide double")
+    cells = materialise(cells.withColumn("cell", F.monotonically_increasing_id()), "cells")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, ("block", "i", "j"), 2 * block):
+            cell, root, wide, own = (rows.column(k).to_numpy() for k in ("cell", "root", "wide", "own"))
+            c = matrix(rows.column("centre").combine_chunks(), "f8")
+            left, right = own == own.min(), own == own.max()
+            apart = np.arccos(np.clip(c[left] @ c[right].T, -1, 1)) - wide[left][:, None] - wide[right][None, :]
+            near = (apart <= np.arccos(cosine) + 1e-6) & (root[left][:, None] != root[right][None, :])
+            if own.min() == own.max():
+                near = np.triu(near)
+            a, b = np.nonzero(near)
+            yield pa.RecordBatch.from_arrays([pa.array(cell[left][a], pa.int64()), pa.array(cell[right][b], pa.int64())], ["one", "other"])
+
+    slim = cells.select("block", "root", "cell", "centre", "wide")
+    close = materialise(in_blocks(slim, "block", "cell", block).mapInArrow(meet, "one long, other long"), "close")
+    ends = close.withColumn("cell", F.explode(F.array("one", "other")))
+    both = ends.join(cells.select("cell", "root", "part"), "cell").join(placed.select("root", "part", "node", "unit"), ["root", "part"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for rows in runs(batches, ("one", "other"), 2 * block):
+            ids = rows.column("node").to_numpy()
+            x = matrix(rows.column("unit").combine_chunks(), "f8")
+            left = rows.column("cell").to_numpy() == rows.column("one")[0].as_py()
+            # One link joins the two clumps: their other links are counted where the joint clump is compared.
+            a, b = np.nonzero(x[left] @ x[~left].T >= cosine)
+            if len(a):
+                out.append((ids[left][a[0]], ids[~left][b[0]]))
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    dealt = both.select("one", "other", "cell", "node", "unit").repartition("one", "other")
+    return materialise(dealt.sortWithinPartitions("one", "other", "cell").mapInArrow(link, "a long, b long"), "bridges")
+
+
+def linked(nodes: DataFrame, clumps: DataFrame, descent: Descent) -> tuple[DataFrame, DataFrame]:
     """Links counted per node (``node, links``: members of linked classes) and ``a, b`` that connect them.
 
-    Clumps are connected by neighbours close to the bound. A list that is full of such neighbours is enlarged
-    to its whole clump: members are compared in double, a block with a block at a time, and links are counted
+    The members of a clump are compared in double, a block with a block at a time, and links are counted
     where they are found, never listed. Of the links of a pair of blocks those that connect it go on.
     """
-    close = lists.filter(F.col("sim") >= descent.cosine - 1e-4).select(F.col("u").alias("a"), F.col("v").alias("b"))
-    clumps = materialise(components(close).join(nodes.select("node", "unit", "weight"), "node"), "clumps")
-    blocks = clumps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / descent.block).alias("blocks"))
-    placed = number_within(clumps, ["root"], ["node"], "place", clumps.count(), attach=blocks)
-    own = F.floor(F.col("place") / descent.block).alias("own")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("root", "node", "unit", "weight", own, other)
-    pair = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "unit", "weight")
+    clumps = materialise(clumps.join(nodes.select("node", "unit", "weight"), "node"), "clumps")
     cosine, block = descent.cosine, descent.block
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +354,17 @@ def linked(nodes: DataFrame, lists: DataFrame, descent: Descent) -> tuple[DataFr
         if held:
             yield result(held)
 
-    dealt = pair.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
+    dealt = in_blocks(clumps.select("root", "node", "unit", "weight"), "root", "node", block)
     counted = materialise(dealt.mapInArrow(count, "node long, links long, to long"), "counted")
     ties = counted.filter("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b"))
     return counted.groupBy("node").agg(F.sum("links").alias("links")), ties
 
 
+def whole(nodes: DataFrame) -> DataFrame:
+    """All comparable vectors as one clump: what the search could not settle is compared in full."""
+    return nodes.join(nodes.groupBy("block").agg(F.min("node").alias("root")), "block").select("node", "root")
+
+
 def mark_two_of(one: np.ndarray, two: np.ndarray, same: bool) -> np.ndarray:
     return one if same else two.copy()
 
@@ -337,13 +422,13 @@ def near_vectors(
             better = refined(nodes, lists, descent, turn * descent.steps + step)
             lists = materialise(best_lists(lists.unionByName(better), descent.neighbours), "lists")
         found = lists
-        counts, ties = linked(nodes, lists, descent)
+        counts, ties = linked(nodes, clumped(nodes, lists, descent), descent)
         counts = materialise(counts, "counts")
         recall = audit(nodes, counts, descent)
         if recall >= descent.recall:
             break
     else:
-        warnings.warn(f"the audit found {recall:.4f} of the links", stacklevel=2)
+        counts, ties = linked(nodes, whole(nodes), descent)
     roots = components(ties)
     named = nodes.join(roots, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))

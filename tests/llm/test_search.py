@@ -229,6 +229,30 @@ def test_near_vectors(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def two_groups(n=30, width=24, seed=6):
+    """Two tight groups, and further single vectors: n rows each; every list is filled from within a group."""
+    rng = np.random.default_rng(seed)
+    one, along = rng.standard_normal((2, width))
+    one /= np.linalg.norm(one)
+    along -= (along @ one) * one
+    other = 0.955 * one + np.sqrt(1 - 0.955**2) * along / np.linalg.norm(along)
+    vectors = [c + rng.standard_normal(width) * 0.13 / np.sqrt(width) for c in (one, other) for _ in range(n)]
+    return np.float32([*vectors, *rng.standard_normal((n, width))]).astype(float)
+
+
+@pytest.mark.parametrize("descent", [nndescent.Descent(), nndescent.Descent(block=8), nndescent.Descent(recall=2.0, rounds=1)])
+def test_full_lists_do_not_hide_another_group(spark, descent):
+    x = two_groups()
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    sims = x @ x.T
+    assert sims[:30, :30].min() > 0.96 and sims[30:60, 30:60].min() > 0.96 and (sims[:30, 30:60] >= 0.93).sum() > 300
+    near = (sims >= 0.93) & ~np.eye(len(x), dtype=bool)
+    data = [(i, [float(v) for v in row], 1, "n", 1, 2) for i, row in enumerate(two_groups())]
+    got = nndescent.near_vectors(spark.createDataFrame(data, VECTORS).repartition(3), descent).collect()
+    want = roots(range(len(x)), zip(*np.nonzero(near), strict=True))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (near[i].sum(), want[i]) for i in want}
+
+
 def test_blocks_of_a_clump_count_like_one(spark):
     rng = np.random.default_rng(8)
     centre = rng.standard_normal(12)
