@@ -369,9 +369,25 @@ def mark_two_of(one: np.ndarray, two: np.ndarray, same: bool) -> np.ndarray:
     return one if same else two.copy()
 
 
-def audit(nodes: DataFrame, counts: DataFrame, descent: Descent) -> float:
-    """Share of the links of ``audited`` vectors (smallest hash) that were found; 1 if they have none."""
-    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(descent.audited).select("node", "block", "unit").toPandas()
+def drawn(nodes: DataFrame, clumps: DataFrame, most: int) -> DataFrame:
+    """``node, block, unit`` of about ``most`` vectors, equally many of clumps of 1, 2 to 3, 4 to 7, ... members."""
+    sizes = clumps.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sized = nodes.join(clumps.join(sizes, "root").select("node", "size"), "node", "left")
+    sized = sized.withColumn("scale", F.floor(F.log2(F.coalesce("size", F.lit(1)))))
+    sized = materialise(sized.select("node", "block", "unit", "scale"), "sized")
+    counts = sorted((r["count"], r["scale"]) for r in sized.groupBy("scale").count().collect())
+    chosen, left = sized.limit(0), most
+    for place, (count, scale) in enumerate(counts):
+        share = min(count, max(1, left // (len(counts) - place)))
+        left -= share
+        part = sized.filter(F.col("scale") == scale)
+        chosen = chosen.unionByName(part.orderBy(F.xxhash64("node"), "node").limit(share))
+    return chosen.select("node", "block", "unit")
+
+
+def audit(nodes: DataFrame, counts: DataFrame, clumps: DataFrame, descent: Descent) -> float:
+    """Mean share of its links that was found of each of ``audited`` vectors that has links; 1 if none has."""
+    asked = drawn(nodes, clumps, descent.audited).toPandas()
     by_block = {b: (g["node"].to_numpy(), g["unit"].tolist()) for b, g in asked.groupby("block")}
     cosine = descent.cosine
 
@@ -393,8 +409,9 @@ def audit(nodes: DataFrame, counts: DataFrame, descent: Descent) -> float:
 
     true = nodes.select("node", "block", "unit", "weight").mapInArrow(search, "node long, links long")
     true = true.groupBy("node").agg(F.sum("links").alias("true"))
-    both = true.join(counts, "node", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("links", F.lit(0))).alias("f")).first()
-    return 1.0 if not both["t"] else both["f"] / both["t"]
+    share = F.avg(F.coalesce("links", F.lit(0)) / F.col("true"))
+    recall = true.filter(F.col("true") > 0).join(counts, "node", "left").agg(share.alias("share")).first()["share"]
+    return 1.0 if recall is None else recall
 
 
 def near_vectors(
@@ -422,9 +439,10 @@ def near_vectors(
             better = refined(nodes, lists, descent, turn * descent.steps + step)
             lists = materialise(best_lists(lists.unionByName(better), descent.neighbours), "lists")
         found = lists
-        counts, ties = linked(nodes, clumped(nodes, lists, descent), descent)
+        clumps = clumped(nodes, lists, descent)
+        counts, ties = linked(nodes, clumps, descent)
         counts = materialise(counts, "counts")
-        recall = audit(nodes, counts, descent)
+        recall = audit(nodes, counts, clumps, descent)
         if recall >= descent.recall:
             break
     else:

@@ -253,6 +253,23 @@ def test_full_lists_do_not_hide_another_group(spark, descent):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (near[i].sum(), want[i]) for i in want}
 
 
+def test_a_large_clump_does_not_hide_small_ones_from_the_audit(spark):
+    """All links of the clump are known, and none of the pairs."""
+    rng = np.random.default_rng(9)
+    clump = rng.standard_normal(24) + rng.standard_normal((1500, 24)) * 0.02
+    x = np.concatenate([clump, np.repeat(rng.standard_normal((100, 24)), 2, axis=0)])
+    x[1500:] += rng.standard_normal((200, 24)) * 0.01
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    nodes = spark.createDataFrame([(i, 1, v.tobytes(), 1) for i, v in enumerate(x)], "node long, block long, unit binary, weight long")
+    counts = [(i, int(n)) for i, n in enumerate(near.sum(axis=1))]
+    clumps = spark.createDataFrame([(i, 0) for i in range(1500)], "node long, root long")
+    descent = nndescent.Descent()
+    every = spark.createDataFrame(counts, "node long, links long")
+    assert nndescent.audit(nodes, every, clumps, descent) == 1
+    assert nndescent.audit(nodes, every.filter("node < 1500"), clumps, descent) < 0.9
+
+
 def test_blocks_of_a_clump_count_like_one(spark):
     rng = np.random.default_rng(8)
     centre = rng.standard_normal(12)
