@@ -88,6 +88,22 @@ def test_pipeline(spark):
     assert by_run.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
 
 
+def test_near_dedup_stage_links_from_four_fifths_on(spark):
+    """Pairs of 200 sequences each that differ in 20 (0.82) or 40 (0.67)."""
+    rows = []
+    for p in range(30):
+        base = [f"p{p}w{i}" for i in range(204)]
+        edits = (10, 60, 110, 160) if p < 20 else (10, 35, 60, 85, 110, 135, 160, 185)
+        rows.append((2 * p, " ".join(base), "en", "a", 1))
+        rows.append((2 * p + 1, " ".join(w if i not in edits else "new" for i, w in enumerate(base)), "en", "a", 1))
+    for p, shared in ((0, 180), (20, 160)):
+        one, other = ({tuple(t.split()[i : i + 5]) for i in range(200)} for t in (rows[2 * p][1], rows[2 * p + 1][1]))
+        assert (len(one & other), len(one | other)) == (shared, 400 - shared)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stay = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert stay == {2 * p for p in range(30)} | {2 * p + 1 for p in range(20, 30)}
+
+
 def test_pipeline_on_an_empty_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
