@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epigauge.llm import chat, exact, minhash, mixing, nndescent, packing, quality, shards, suffixes, toxicity
+from epigauge.llm import (
+    bytepairs,
+    chat,
+    exact,
+    minhash,
+    mixing,
+    negatives,
+    nndescent,
+    packing,
+    quality,
+    shards,
+    suffixes,
+    toxicity,
+    vectorcodes,
+)
 from epigauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +108,28 @@ def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_cover_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), suffixes.Repeats(width=100)).drop("kept")
+
+
+@query
+def op11_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"), vectorcodes.Codes(parts=4, entries=256, rounds=4))
+    return vectorcodes.with_label_error(found, books)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", changed)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, negatives.Mining(positives=5, negatives=5, least=80))
+
+
+def public_ranks() -> bytepairs.Ranks:
+    """The ranks and the pattern of the contract, from the installed package of public tokenizers."""
+    import public_tokenizers as public
+
+    return bytepairs.Ranks(public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+
+
+@query
+def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepairs.summary(table(spark, sf_dir, "documents"), public_ranks())

@@ -3,6 +3,48 @@
 from __future__ import annotations
 
 
+def gnat_codes(rounds: int = 4) -> str:
+    """Codebooks by full comparison: one nearest-entry query a round."""
+
+    def nearest(r: int) -> str:
+        distance = "(list_dot_product(p.x, p.x) + list_dot_product(c.x, c.x) - 2 * list_dot_product(p.x, c.x))::BIGINT"
+        return f"""a{r} AS MATERIALIZED (
+                SELECT vec_id, p.part, any_value(p.x) AS x, min({{'d': {distance}, 'entry': c.entry}}) AS best
+                FROM p JOIN c{r} c ON p.part = c.part GROUP BY vec_id, p.part
+            )"""
+
+    def moved(r: int) -> str:
+        return f"""m{r} AS (
+                SELECT part, entry, list(mean ORDER BY at) AS x FROM (
+                    SELECT part, best.entry AS entry, at, floor(sum(x[at]) / count(*)) AS mean
+                    FROM a{r}, unnest(range(1, len(x) + 1)) t(at) GROUP BY ALL
+                ) GROUP BY part, entry
+            ), c{r + 1} AS MATERIALIZED (
+                SELECT part, entry, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (part, entry)
+            )"""
+
+    steps = ", ".join(f"{nearest(r)}, {moved(r)}" for r in range(rounds))
+    return f"""
+            WITH v AS (
+                SELECT vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+                WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            ), p AS MATERIALIZED (
+                SELECT vec_id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x FROM v, range(4) t(part)
+            ), c0 AS (
+                SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, x FROM p
+                QUALIFY dense_rank() OVER (ORDER BY vec_id) <= 256
+            ), {steps}, {nearest(rounds)}, coded AS (
+                SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+                FROM a{rounds} GROUP BY vec_id
+            ), books AS (
+                SELECT sha256(string_agg(x[at]::BIGINT::VARCHAR, ',' ORDER BY part, entry, at)) AS codebooks_sha256
+                FROM c{rounds}, unnest(range(1, len(x) + 1)) t(at)
+            )
+            SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256, label
+            FROM coded JOIN v USING (vec_id), books
+        """
+
+
 def oracles() -> dict[str, str]:
     return {
         "op6_exact_dedup": r"""
@@ -32,4 +74,25 @@ def oracles() -> dict[str, str]:
                    min(r.other) = r.one AS kept
             FROM reach r LEFT JOIN counted c ON c.one = r.one GROUP BY r.one
         """,
+        "op11_gnat_codes": gnat_codes(),
+        "op12_hard_negatives": """
+            WITH v AS (
+                SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+                FROM embeddings
+                WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            ), met AS (
+                SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                       list_dot_product(a.v, b.v)::BIGINT AS score
+                FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+            ), positives AS (
+                SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM met WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+            )
+            SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+                   (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank
+            FROM positives JOIN met USING (anchor_id)
+            WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+            QUALIFY rank <= 5
+        """,
     }
