@@ -15,9 +15,9 @@ def gnat_codes(rounds: int = 4) -> str:
 
     def moved(r: int) -> str:
         return f"""m{r} AS (
-                SELECT part, entry, list(mean ORDER BY at) AS x FROM (
-                    SELECT part, best.entry AS entry, at, floor(sum(x[at]) / count(*)) AS mean
-                    FROM a{r}, unnest(range(1, len(x) + 1)) t(at) GROUP BY ALL
+                SELECT part, entry, list(mean ORDER BY place) AS x FROM (
+                    SELECT part, best.entry AS entry, place, floor(sum(x[place]) / count(*)) AS mean
+                    FROM a{r}, unnest(range(1, len(x) + 1)) t(place) GROUP BY ALL
                 ) GROUP BY part, entry
             ), c{r + 1} AS MATERIALIZED (
                 SELECT part, entry, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (part, entry)
@@ -37,8 +37,8 @@ def gnat_codes(rounds: int = 4) -> str:
                 SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
                 FROM a{rounds} GROUP BY vec_id
             ), books AS (
-                SELECT sha256(string_agg(x[at]::BIGINT::VARCHAR, ',' ORDER BY part, entry, at)) AS codebooks_sha256
-                FROM c{rounds}, unnest(range(1, len(x) + 1)) t(at)
+                SELECT sha256(string_agg(x[place]::BIGINT::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256
+                FROM c{rounds}, unnest(range(1, len(x) + 1)) t(place)
             )
             SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256, label
             FROM coded JOIN v USING (vec_id), books
