@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from epigauge.checks import fixtures
 from epigauge.checks.fixtures import EVENTS
@@ -14,11 +15,13 @@ from epigauge.functions.labels import location_of, region_of, severity_of
 from epigauge.functions.numeric import all_present, finite_or_null
 from epigauge.operators import classify, cleaning, clusters, distribution, features
 from epigauge.operators.latest import latest_rows
+from epigauge.operators.sketches import RANK_ERROR, keys_in, quantiles
 from epigauge.operators.windows import to_full_window, watermarked, window_sums, with_finality
 from epigauge.plans import scoring, serving, training
 from epigauge.session import materialise, run_dir
 from epigauge.sources import records, replay, streams, tables
-from epigauge.spec import BURDEN_METRICS, HEALTH, HEALTH_LABELS, METRICS, PROFILE_METRICS
+from epigauge.spec import BURDEN_METRICS, HEALTH, HEALTH_LABELS, METRICS, PROFILE_METRICS, IndicatorSpec
+from epigauge.streaming import keeper
 from epigauge.streaming.jobs import StreamOptions, finish, start_log, start_surveillance
 from epigauge.streaming.log import VERSION, PredictionLog
 
@@ -739,3 +742,125 @@ def stream_holed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many windows of each state could not be scored."""
     return _holed_log(spark, sf_dir).skipped(spark).groupBy("State").agg(F.count("*").alias("windows"))
+
+
+def _kept(spark: SparkSession, sf_dir: str, spec: IndicatorSpec, tick: Column, start: Callable) -> str:
+    """Daily reports replayed tick by tick into a stream that ``start`` makes of them; gives its folder."""
+    base = run_dir(spark, "stream")
+    messages = records.encode(fixtures.daily_reports(spark, sf_dir), HEALTH, keep=("day", "State"))
+    for _ in replay.replay(messages, tick, f"{base}/in"):
+        decoded = records.decode(streams.file_records(spark, f"{base}/in"), spec)
+        reports = watermarked(records.accepted(decoded), spec)
+        finish([start(reports, base, StreamOptions(f"{base}/checkpoint", rocksdb=True))])
+    return base
+
+
+SHOWN_SUMS = ["ANC_Registered", "Child_TB", "Early_Breastfeeding"]
+
+
+@query
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ninth day's reports of every fourth state come years late: told as late, and added to their closed windows."""
+    delayed = (F.dayofyear("day") % 9 == 0) & (F.substring("State", 2, 2).cast("int") % 4 == 0)
+    tick = F.floor(F.year("day") / F.lit(2)).cast("int") + F.when(delayed, F.lit(1)).otherwise(F.lit(0))
+
+    def start(reports: DataFrame, base: str, options: StreamOptions):
+        return keeper.start_kept(reports, PredictionLog(f"{base}/log"), options)
+
+    log = PredictionLog(f"{_kept(spark, sf_dir, HEALTH, tick, start)}/log")
+    log.compact(spark)
+    whole = keeper.corrected(log.windows(spark), log.late(spark), HEALTH)
+    late = log.late(spark).select("window_start", *HEALTH.key_names, *[F.col(m).alias(f"late_{m}") for m in SHOWN_SUMS])
+    keys = ["window_start", *HEALTH.key_names]
+    return whole.join(late, keys, "left").select(
+        F.to_date("window_start").alias("window_start"),
+        *HEALTH.key_names,
+        *SHOWN_SUMS,
+        *[f"late_{m}" for m in SHOWN_SUMS],
+        "days_seen",
+        "reports",
+        "late_reports",
+    )
+
+
+MONTHLY = replace(HEALTH, calendar="month")
+
+
+@query
+def stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums by calendar month, kept and closed inside the stream."""
+    tick = F.floor(F.year("day") / F.lit(2)).cast("int")
+
+    def start(reports: DataFrame, base: str, options: StreamOptions):
+        return keeper.start_kept(reports, PredictionLog(f"{base}/log", MONTHLY), options)
+
+    log = PredictionLog(f"{_kept(spark, sf_dir, MONTHLY, tick, start)}/log", MONTHLY)
+    return _window_days(log.windows(spark)).select(*WINDOW_COLUMNS, "is_closed")
+
+
+@query
+def month_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums by calendar month of a batch, scaled to full months."""
+    sums = to_full_window(window_sums(fixtures.report_lines(spark, sf_dir), MONTHLY), MONTHLY)
+    return sums.select(
+        F.to_date("window_start").alias("window_start"), *HEALTH.key_names, *[_rounded(m) for m in SHOWN_SUMS], "days_seen"
+    )
+
+
+@query
+def stream_live_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest window per location out of the stream's own state; there is no log."""
+    tick = F.floor(F.year("day") / F.lit(2)).cast("int")
+
+    def start(reports: DataFrame, base: str, options: StreamOptions):
+        newest = keeper.newest_windows(keeper.kept_windows(reports, HEALTH), HEALTH)
+        writer = newest.writeStream.outputMode("append").format("parquet").option("path", f"{base}/changes")
+        return options.start(spark, writer)
+
+    base = _kept(spark, sf_dir, HEALTH, tick, start)
+    return _window_days(keeper.live_latest(spark, f"{base}/checkpoint", HEALTH)).select(*WINDOW_COLUMNS)
+
+
+@query
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that reports can still change, read from the state of the running aggregation."""
+    base = run_dir(spark, "stream")
+    for _ in _replay_ticks(spark, sf_dir, f"{base}/in", years=4):
+        source = streams.file_records(spark, f"{base}/in")
+        finish(start_surveillance(source, PredictionLog(f"{base}/log"), f"{base}/quarantine", f"{base}/checkpoint"))
+    return _window_days(keeper.open_windows(spark, f"{base}/checkpoint/log", HEALTH)).select(*WINDOW_COLUMNS)
+
+
+def _sketched(spark: SparkSession, sf_dir: str) -> PredictionLog:
+    """Closed windows with a sketch per micro-batch, partly folded into a snapshot."""
+    base = run_dir(spark, "stream")
+    log = PredictionLog(f"{base}/log")
+    for _ in _replay_ticks(spark, sf_dir, f"{base}/in", years=2):
+        source = streams.file_records(spark, f"{base}/in")
+        bad, checkpoint = f"{base}/quarantine", f"{base}/checkpoint"
+        finish(start_surveillance(source, log, bad, checkpoint, output_mode="append", sketches=("State", "ANC_Registered")))
+    log.compact(spark)
+    return log
+
+
+@query
+def stream_sketched_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key figures of all closed windows from merged sketches; no window is read."""
+    merged = _sketched(spark, sf_dir).sketches(spark)
+    return merged.select(
+        F.round(keys_in()).cast("long").alias("states"), "rows", F.col("least").alias("least"), F.col("most").alias("most")
+    )
+
+
+@query
+def stream_sketched_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles from merged sketches, held against the windows: is each one's rank within the stated error?"""
+    log = _sketched(spark, sf_dir)
+    asked = materialise(quantiles(log.sketches(spark), [i / 20 for i in range(1, 20)]), "quantiles")
+    met = log.read(spark).select("ANC_Registered").join(F.broadcast(asked))  # 19 rows
+    ranks = met.groupBy("share", "score").agg(
+        F.avg((F.col("ANC_Registered") < F.col("score")).cast("double")).alias("below"),
+        F.avg((F.col("ANC_Registered") <= F.col("score")).cast("double")).alias("upto"),
+    )
+    near = (F.col("below") <= F.col("share") + RANK_ERROR) & (F.col("upto") >= F.col("share") - RANK_ERROR)
+    return ranks.select(F.round(F.col("share") * 100).cast("int").alias("percent"), near.alias("within_error"))

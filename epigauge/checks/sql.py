@@ -188,6 +188,14 @@ def oracles() -> dict[str, str]:
     return {name: sql.strip() for name, sql in _ORACLES.items()}
 
 
+MONTHS = f"""{DAILY}, months AS (
+  SELECT CAST(date_trunc('month', day) AS DATE) AS window_start,
+       CAST(date_trunc('month', day) + INTERVAL 1 MONTH AS DATE) AS window_end,
+       State, Region_Index, {each("sum({m}) AS {m}")},
+       count(DISTINCT day) AS days_seen, max(day) AS last_day
+  FROM daily GROUP BY ALL)"""
+_SHOWN = ["ANC_Registered", "Child_TB", "Early_Breastfeeding"]
+
 _LOG_COLUMNS = f"""window_start, window_end, State, Region_Index, {METRIC_LIST}, days_seen, last_day"""
 _CLOSED = "window_end <= (SELECT max(last_day) - INTERVAL 2 DAY FROM windows)"
 
@@ -402,6 +410,37 @@ _ORACLES = {
         FROM told_windows WHERE C_Section IS NOT NULL AND Child_TB IS NOT NULL""",
     "stream_skipped": f"""WITH {HOLED_WINDOWS}
         SELECT State, count(*) AS windows FROM told_windows WHERE C_Section IS NULL OR Child_TB IS NULL GROUP BY 1""",
+    "stream_late": f"""WITH {DAILY}, sent AS (
+          SELECT *, floor(year(day) / 2)::INTEGER
+                 + CASE WHEN dayofyear(day) % 9 = 0 AND substr(State, 2)::INTEGER % 4 = 0 THEN 1 ELSE 0 END AS tick
+          FROM daily),
+        marks AS (
+          SELECT tick, max(max(day)) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 DAY
+                   AS mark
+          FROM sent GROUP BY tick),
+        judged AS (
+          SELECT sent.*, CAST(time_bucket(INTERVAL '30 days', day::TIMESTAMP, TIMESTAMP '1970-01-01') AS DATE) AS window_start,
+                 coalesce(window_start + INTERVAL 30 DAY <= mark, false) AS is_late
+          FROM sent JOIN marks USING (tick))
+        SELECT window_start, State, Region_Index, {each("sum({m}) AS {m}", _SHOWN)},
+               {each("sum({m}) FILTER (is_late) AS late_{m}", _SHOWN)},
+               count(DISTINCT day) AS days_seen, count(*) AS reports, count(*) FILTER (is_late) AS late_reports
+        FROM judged GROUP BY ALL""",
+    "stream_months": f"""WITH {MONTHS}
+        SELECT {_LOG_COLUMNS}, {_CLOSED.replace("windows", "months")} AS is_closed FROM months""",
+    "month_sum": f"""WITH {MONTHS}
+        SELECT window_start, State, Region_Index, days_seen,
+               {each("round({m} * (window_end - window_start)::DOUBLE / days_seen, 6) + 0.0 AS {m}", _SHOWN)}
+        FROM months""",
+    "stream_live_latest": f"""WITH {WINDOWS}
+        SELECT {_LOG_COLUMNS} FROM windows
+        QUALIFY row_number() OVER (PARTITION BY State, Region_Index ORDER BY window_end DESC) = 1""",
+    "stream_open_windows": f"""WITH {WINDOWS} SELECT {_LOG_COLUMNS} FROM windows WHERE NOT {_CLOSED}""",
+    "stream_sketched_kpi": f"""WITH {WINDOWS}
+        SELECT count(DISTINCT State) AS states, count(*) AS rows, min(ANC_Registered) AS least, max(ANC_Registered) AS most
+        FROM windows WHERE {_CLOSED}""",
+    "stream_sketched_quantiles": """
+        SELECT (5 * i)::INTEGER AS percent, true AS within_error FROM range(1, 20) t(i)""",
     # fitted models on windows with one right answer
     "kmeans_clusters": f"""WITH {SEPARATED}
         SELECT window_start, State, Region_Index, truth AS severity FROM separated""",

@@ -39,17 +39,16 @@ def total(columns: Sequence[str]) -> Column:
 DAYS_PER_WORD = 63
 
 
-def day_bits(time: Column, window_days: int) -> list[Column]:
-    """The bit of a timestamp's day within its epoch-aligned window, in one word per 63 days.
+def day_bits(day: Column, days: int) -> list[Column]:
+    """The bit of day number ``day`` (0 to ``days`` - 1), in one word per 63 days.
 
     ``bit_or`` over these words followed by ``bit_count`` is an exact count of distinct days with a
     fixed-size buffer: it stays in the hash aggregate and is allowed on streams, where a distinct
     count is not.
     """
-    day = F.pmod(F.floor(F.unix_seconds(time) / F.lit(86400)), F.lit(window_days)).cast("int")
     words = []
-    for first in range(0, window_days, DAYS_PER_WORD):
+    for first in range(0, days, DAYS_PER_WORD):
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), day - F.lit(first))
         inside = (day >= first) & (day < first + DAYS_PER_WORD)
-        words.append(F.when(inside, bit).otherwise(F.lit(0).cast("long")) if window_days > DAYS_PER_WORD else bit)
+        words.append(F.when(inside, bit).otherwise(F.lit(0).cast("long")) if days > DAYS_PER_WORD else bit)
     return words

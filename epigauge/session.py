@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +32,17 @@ def build_session(name: str = "epigauge", **options: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Settings that keep streaming state off the JVM heap.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming state off the JVM heap; for feeds with many open windows and locations."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for key, value in ROCKSDB.items():
+        spark.conf.set(key, value)
 
 
 _local_folders: list[tempfile.TemporaryDirectory] = []
@@ -107,6 +112,42 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content, read by the driver."""
+    files, location = _files(spark, path)
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole or not at all; False, and nothing is changed, if it is there already.
+
+    Of several processes that try at once one succeeds: the file is written under another name and renamed, which is
+    refused where the name is taken.
+    """
+    files, location = _files(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(location.getParent(), f".{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(files.makeQualified(location).toUri(), spark._jsc.hadoopConfiguration())
+    nothing = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(draft), files.makeQualified(location), nothing)
+        return True
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+
+
 def at_once(spark: SparkSession, works: Sequence[Callable[[], R]], limit: int = 8) -> list[R]:
     """Run independent driver-side steps (fits, each many small jobs) side by side, results in order."""
     with ThreadPoolExecutor(max_workers=min(limit, len(works))) as pool:

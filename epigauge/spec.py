@@ -57,6 +57,9 @@ SEVERITY_LABELS = {0: "Low Risk", 1: "Moderate Risk", 2: "High Risk"}
 HEALTH_LABELS = {0: "Safe", 1: "Average", 2: "Critical"}
 SEVERITY_COLOURS = {"Low Risk": "green", "Moderate Risk": "orange", "High Risk": "red"}
 
+# Calendar windows and the most days they may have.
+CALENDAR_DAYS = {"month": 31, "quarter": 92, "year": 366}
+
 # Numeric columns of a history that are no indicators.
 CALENDAR = ("Year", "Quarter", "Month", "Week", "Day")
 
@@ -66,7 +69,8 @@ class IndicatorSpec:
     """Columns and event-time rules of one indicator feed.
 
     A report dated before ``earliest``, or more than ``lead`` after it arrived, is set aside: one far date would
-    move the watermark past every honest report.
+    move the watermark past every honest report. With ``calendar`` windows are months, quarters or years instead of
+    ``window_days`` from the epoch on.
     """
 
     keys: tuple[tuple[str, str], ...] = (("State", "string"), ("Region_Index", "double"))
@@ -80,10 +84,13 @@ class IndicatorSpec:
     lateness: str = "2 days"
     earliest: str = "1900-01-01"
     lead: str = "2 days"
+    calendar: str | None = None
 
     def __post_init__(self) -> None:
         if self.window_days < 1:
             raise ValueError("window_days must be at least 1")
+        if self.calendar is not None and self.calendar not in CALENDAR_DAYS:
+            raise ValueError(f"calendar must be one of {', '.join(CALENDAR_DAYS)}")
         missing = set(self.burden) - set(self.metrics)
         if missing:
             raise ValueError(f"burden names unknown metrics: {sorted(missing)}")
@@ -92,6 +99,11 @@ class IndicatorSpec:
     def key_names(self) -> list[str]:
         return [name for name, _ in self.keys]
 
+    @property
+    def most_days(self) -> int:
+        """Days of the longest window."""
+        return CALENDAR_DAYS[self.calendar] if self.calendar else self.window_days
+
     @property
     def features(self) -> list[str]:
         return [*self.metrics, *self.extra_features]

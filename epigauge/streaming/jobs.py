@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from epigauge.functions.numeric import all_present
 from epigauge.operators.windows import to_full_window, watermarked, window_sums
+from epigauge.session import ROCKSDB
 from epigauge.sources.records import accepted, decode, drop_redelivered, rejected
 from epigauge.spec import HEALTH, IndicatorSpec
 from epigauge.streaming.log import PredictionLog
@@ -25,22 +26,27 @@ class StreamOptions:
 
     ``state_partitions`` counts at the first start on a checkpoint, which keeps it: choose it for the
     largest cluster the job will have. None takes ``spark.sql.shuffle.partitions``, whatever cores there are
-    at that moment.
+    at that moment. ``rocksdb`` keeps this query's state off the heap; operators with states of their own need it.
     """
 
     checkpoint: str
     name: str | None = None
     every: str | None = None
     state_partitions: int | None = None
+    rocksdb: bool = False
 
     def start(self, spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-        key = "spark.sql.shuffle.partitions"
-        general = spark.conf.get(key)
-        spark.conf.set(key, self.state_partitions or general)
+        wanted = {"spark.sql.shuffle.partitions": self.state_partitions} if self.state_partitions else {}
+        if self.rocksdb:
+            wanted |= ROCKSDB
+        general = {key: spark.conf.get(key, None) for key in wanted}
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         try:
             return self._start(writer)
         finally:
-            spark.conf.set(key, general)
+            for key, value in general.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
     def _start(self, writer: DataStreamWriter) -> StreamingQuery:
         writer = writer.option("checkpointLocation", self.checkpoint)
@@ -77,28 +83,32 @@ def start_log(
     output_mode: str = "update",
     score: Callable[[DataFrame], DataFrame] | None = None,
     needed: Sequence[str] = (),
+    sketches: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Write a stream's changed rows, scored, to the log, one folder per micro-batch.
 
     Scoring comes after the stateful step, so what is kept in the checkpoint does not depend on the
     model and a new one can be used from the next start. The changed rows are computed once and scored in as
-    many tasks as they came in; rows that miss one of the ``needed`` columns are noted in the log as skipped. An
-    empty batch (one follows each move of the watermark) writes nothing, others as few files as
-    their rows need. Errors end the query; on restart the batch is written again in place.
+    many tasks as they came in; rows that miss one of the ``needed`` columns are noted in the log as skipped, and
+    ``sketches`` names a key and a score of which the log gets sketches. An empty batch (one follows each move of the watermark)
+    writes nothing, others as few files as their rows need. Errors end the query; on restart the batch is
+    written again in place.
     """
     run_id = run_id_of(rows.sparkSession, options.checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            changed = batch.count()
+            holed = ~all_present(needed) if score and needed else F.lit(False)
+            changed, left_out = batch.agg(F.count("*"), F.count_if(holed)).first()
             if changed:
                 files = 1 + changed // ROWS_PER_FILE
                 # A shuffle of the few scored columns: coalescing would score in as few tasks as there are files.
                 log.append(score(batch).repartition(files) if score else batch.coalesce(files), run_id, batch_id)
-                left_out = batch.where(~all_present(needed)) if score and needed else None
-                if left_out is not None and not left_out.isEmpty():
-                    log.append_skipped(left_out.coalesce(files), run_id, batch_id)
+                if left_out:
+                    log.append_skipped(batch.where(holed).coalesce(files), run_id, batch_id)
+                if sketches:
+                    log.append_sketches(batch.sparkSession, run_id, batch_id, *sketches)
         finally:
             batch.unpersist()
 
@@ -125,6 +135,7 @@ def start_surveillance(
     missing_counts: bool = False,
     full_windows: bool = False,
     state_partitions: int | None = None,
+    sketches: tuple[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """The whole stream: decode, set bad records aside, sum by window, score, log.
 
@@ -145,7 +156,7 @@ def start_surveillance(
         return score(to_full_window(sums, spec) if full_windows else sums)
 
     sums = window_sums(reports, spec, missing_counts)
-    first = start_log(sums, log, options("log"), output_mode, graded if score else None, spec.features)
+    first = start_log(sums, log, options("log"), output_mode, graded if score else None, spec.features, sketches)
     try:
         return [first, start_quarantine(decoded, quarantine_path, options("quarantine"))]
     except BaseException:

@@ -1,0 +1,170 @@
+"""Windows kept by the operator of its own: late rows, calendar windows, the newest window, state as a table."""
+
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from epigauge.operators.windows import watermarked, window_sums
+from epigauge.sources.records import accepted, decode
+from epigauge.sources.streams import file_records
+from epigauge.spec import IndicatorSpec
+from epigauge.streaming.jobs import StreamOptions, finish, start_surveillance
+from epigauge.streaming.keeper import (
+    as_windows,
+    corrected,
+    kept_windows,
+    live_latest,
+    newest_windows,
+    open_kept_windows,
+    open_windows,
+    start_kept,
+)
+from epigauge.streaming.log import PredictionLog
+
+SPEC = IndicatorSpec(metrics=("x", "y"), burden=("x",))
+MONTHS = IndicatorSpec(metrics=("x", "y"), burden=("x",), calendar="month")
+
+
+class Source:
+    def __init__(self, spark, folder, spec):
+        self.spark, self.folder, self.spec, self.sent = spark, str(folder), spec, 0
+        os.makedirs(f"{self.folder}/in", exist_ok=True)
+
+    def send(self, *rows):
+        path = f"{self.folder}/in/{self.sent:03d}.json"
+        with open(path, "w") as out:
+            for date, state, x, *y in rows:
+                out.write(json.dumps({"Date": date, "State": state, "Region_Index": 0.0, "x": x, "y": y[0] if y else 1.0}) + "\n")
+        os.utime(path, (1_750_000_000 + self.sent,) * 2)
+        self.sent += 1
+
+    def reports(self):
+        records = file_records(self.spark, f"{self.folder}/in", 1)
+        return watermarked(accepted(decode(records, self.spec)), self.spec)
+
+    def options(self, name="c"):
+        return StreamOptions(f"{self.folder}/{name}", state_partitions=2, rocksdb=True)
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    return Source(spark, tmp_path, SPEC)
+
+
+def days(rows, *columns):
+    return sorted((r["State"], r["window_end"].strftime("%d-%m"), *(r[c] for c in columns)) for r in rows)
+
+
+def test_late_reports_are_told_and_corrections_add_up(spark, source):
+    source.send(("01-01-2024", "A", 1.0), ("02-01-2024", "A", 2.0, None), ("01-01-2024", "B", 5.0))
+    source.send(("25-02-2024", "A", 10.0))
+    source.send(("03-01-2024", "A", 100.0, None), ("03-01-2024", "A", None), ("05-01-2024", "C", 7.0))
+    source.send(("26-02-2024", "A", 20.0), ("02-01-2024", "A", 1000.0))
+    log = PredictionLog(f"{source.folder}/log", SPEC)
+    finish([start_kept(source.reports(), log, source.options())])
+    states, late = log.windows(spark), log.late(spark)
+    assert days(states.collect(), "x", "days_seen", "is_closed") == [
+        ("A", "18-01", 3.0, 2, True), ("A", "18-03", 30.0, 2, False), ("B", "18-01", 5.0, 1, True),
+    ]
+    assert days(late.collect(), "x", "x_missing", "y_missing", "reports", "days_seen") == [
+        ("A", "18-01", 1100.0, 1, 1, 3, 2), ("C", "18-01", 7.0, 0, 0, 1, 1),
+    ]
+    whole = corrected(states, late, SPEC)
+    assert days(whole.collect(), "x", "days_seen", "reports", "late_reports") == [
+        ("A", "18-01", 1103.0, 3, 5, 3), ("A", "18-03", 30.0, 2, 2, 0), ("B", "18-01", 5.0, 1, 1, 0), ("C", "18-01", 7.0, 1, 1, 1),
+    ]
+    batch = window_sums(accepted(decode(spark.read.text(f"{source.folder}/in"), SPEC)), SPEC, missing_counts=True)
+    columns = ["window_end", "State", "x", "y", "x_missing", "y_missing", "days_seen", "last_report"]
+    assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, batch.select(columns).collect()))
+
+
+def test_only_closed_windows_without_changes(spark, source):
+    source.send(("01-01-2024", "A", 1.0), ("02-01-2024", "B", 2.0))
+    source.send(("25-02-2024", "A", 10.0))
+    log = PredictionLog(f"{source.folder}/log", SPEC)
+    finish([start_kept(source.reports(), log, source.options(), changes=False)])
+    assert days(log.read(spark).collect(), "x", "is_closed") == [("A", "18-01", 1.0, True), ("B", "18-01", 2.0, True)]
+
+
+def test_months_are_kept_and_given_up(spark, tmp_path):
+    source = Source(spark, tmp_path, MONTHS)
+    for month in range(1, 13):
+        source.send(*((f"{day:02d}-{month:02d}-2024", state, 1.0) for day in (1, 15, 28) for state in "AB"))
+    source.send(("31-12-2024", "A", 5.0), ("10-01-2025", "A", 1.0))
+    log = PredictionLog(f"{tmp_path}/log", MONTHS)
+    finish([start_kept(source.reports(), log, source.options())])
+    batch = window_sums(accepted(decode(spark.read.text(f"{tmp_path}/in"), MONTHS)), MONTHS)
+    columns = ["window_start", "window_end", "State", "x", "days_seen"]
+    got, want = log.windows(spark).select(columns).collect(), batch.select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 25
+    # Twenty-four windows have been closed; what is left in the state is the one that is open.
+    left = open_kept_windows(spark, source.options().checkpoint, MONTHS)
+    assert days(left.collect(), "x", "days_seen") == [("A", "01-02", 1.0, 1)]
+    closed = log.windows(spark).where("is_closed").count()
+    assert closed == 24 and log.late(spark).count() == 0
+
+
+def test_a_restart_goes_on_with_its_state(spark, source):
+    log = PredictionLog(f"{source.folder}/log", SPEC)
+    for rows in ([("01-01-2024", "A", 1.0)], [("02-01-2024", "A", 2.0)], [("25-02-2024", "A", 4.0)], [("03-01-2024", "A", 8.0)]):
+        source.send(*rows)
+        finish([start_kept(source.reports(), log, source.options())])
+    assert days(log.windows(spark).collect(), "x") == [("A", "18-01", 3.0), ("A", "18-03", 4.0)]
+    assert days(log.late(spark).collect(), "x") == [("A", "18-01", 8.0)]
+    assert log.read(spark).select("run_id").distinct().count() == 1
+
+
+def test_the_newest_window_lives_in_the_stream(spark, source):
+    source.send(("01-01-2024", "A", 1.0), ("01-01-2024", "B", 2.0, None))
+    source.send(("25-02-2024", "A", 10.0), ("02-01-2024", "B", 3.0, None))
+    source.send(("03-01-2024", "A", 100.0), ("26-02-2024", "A", 5.0))
+    newest = newest_windows(kept_windows(source.reports(), SPEC), SPEC)
+    writer = newest.writeStream.outputMode("append").format("parquet").option("path", f"{source.folder}/changes")
+    options = source.options()
+    finish([options.start(spark, writer)])
+    live = live_latest(spark, options.checkpoint, SPEC)
+    assert days(live.collect(), "x", "y", "days_seen") == [("A", "18-03", 15.0, 2.0, 2), ("B", "18-01", 5.0, None, 2)]
+    told = as_windows(spark.read.schema(newest.schema).parquet(f"{source.folder}/changes"), SPEC)
+    assert days(told.collect(), "x") == [("A", "18-01", 1.0), ("A", "18-03", 10.0), ("A", "18-03", 15.0), ("B", "18-01", 2.0), ("B", "18-01", 5.0)]
+
+
+@pytest.mark.parametrize("missing_counts", [False, True])
+def test_open_windows_of_the_built_in_aggregation(spark, source, missing_counts):
+    source.send(("01-01-2024", "A", 1.0), ("02-01-2024", "B", 2.0, None))
+    source.send(("25-02-2024", "A", 10.0), ("26-02-2024", "C", None))
+    log = PredictionLog(f"{source.folder}/log", SPEC)
+    records = file_records(spark, f"{source.folder}/in", 1)
+    checkpoint = f"{source.folder}/c"
+    finish(start_surveillance(records, log, f"{source.folder}/bad", checkpoint, SPEC, missing_counts=missing_counts))
+    left = open_windows(spark, f"{checkpoint}/log", SPEC, missing_counts)
+    states = log.windows(spark).where(F.col("window_end") > F.lit("2024-02-24").cast("timestamp"))
+    assert sorted(map(repr, left.collect())) == sorted(map(repr, states.select(left.columns).collect()))
+    assert left.count() == 2 and ("x_missing" in left.columns) == missing_counts
+    with pytest.raises(ValueError, match="sums a window"):
+        open_windows(spark, f"{checkpoint}/log", SPEC, not missing_counts)
+
+
+def test_calendar_windows_of_a_batch(spark):
+    rows = spark.createDataFrame(
+        [("2024-02-29", "A", 1.0), ("2024-02-01", "A", 2.0), ("2024-03-01", "A", 4.0)], "day string, State string, x double"
+    ).selectExpr("to_timestamp(day) AS timestamp", "State", "0D AS Region_Index", "x", "x AS y")
+    for unit, want in (
+        ("month", [("A", "01-03", 3.0, 2), ("A", "01-04", 4.0, 1)]),
+        ("quarter", [("A", "01-04", 7.0, 3)]),
+        ("year", [("A", "01-01", 7.0, 3)]),
+    ):
+        spec = IndicatorSpec(metrics=("x", "y"), burden=("x",), calendar=unit)
+        assert days(window_sums(rows, spec).collect(), "x", "days_seen") == want
+    with pytest.raises(ValueError, match="calendar"):
+        IndicatorSpec(calendar="week")
+
+
+def test_a_stream_refuses_calendar_windows_whose_state_would_stay(spark, tmp_path):
+    source = Source(spark, tmp_path, MONTHS)
+    source.send(("01-01-2024", "A", 1.0))
+    with pytest.raises(ValueError, match="keeper"):
+        window_sums(source.reports(), MONTHS)
