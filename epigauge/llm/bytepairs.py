@@ -83,12 +83,15 @@ class Codec:
 
         every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
         single = {bytes([b]): b for b in range(256)}
-        self.stand_ins = {}
-        for kind, stand_in in ((r"\p{L}", "é"), (r"\p{N}", "²"), (r"\s", " "), (r"[^\s\p{L}\p{N}]", "…")):
-            reader = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks=single, special_tokens={})
+        self.stand_ins, classed, named = {}, set(), set()
+        for kind, stand_in in ((r"\p{L}", "é"), (r"\p{N}", "²"), (r"\s", " ")):
+            reader = tiktoken.Encoding("class", pat_str=f"{kind}+", mergeable_ranks=single, special_tokens={})
             wanted = set(bytes(reader.encode_ordinary(every)).decode())
-            self.stand_ins |= dict.fromkeys(wanted.difference(regex.findall(kind, every)), stand_in)
-        self.odd = regex.compile("[" + "".join(map(regex.escape, self.stand_ins)) + "]") if self.stand_ins else None
+            found = set("".join(regex.findall(f"{kind}+", every)))
+            self.stand_ins |= dict.fromkeys(wanted - found, stand_in)
+            classed, named = classed | wanted, named | found
+        self.stand_ins |= dict.fromkeys(named - classed, "…")
+        self.odd = frozenset(self.stand_ins)
         self.stand_ins = str.maketrans(self.stand_ins)
 
     def pieces(self, text: str) -> list[str]:
@@ -97,7 +100,7 @@ class Codec:
             return self.pieces_of(text)
         if self.stand_ins is None:
             self._compare_classes()
-        if self.odd is None or not self.odd.search(text):
+        if self.odd.isdisjoint(text):
             return self.pieces_of(text)
         found = self.pieces_of(text.translate(self.stand_ins))
         return self.slices(text, np.fromiter(map(len, found), np.int64, len(found)))
