@@ -15,11 +15,12 @@ from epigauge.functions.labels import location_of, region_of, severity_of
 from epigauge.functions.numeric import all_present, finite_or_null
 from epigauge.operators import classify, cleaning, clusters, distribution, features
 from epigauge.operators.latest import latest_rows
+from epigauge.operators.moments import merged_moments, moments, read_moments, within_cost
 from epigauge.operators.sketches import RANK_ERROR, keys_in, quantiles
 from epigauge.operators.windows import to_full_window, watermarked, window_sums, with_finality
 from epigauge.plans import scoring, serving, training
 from epigauge.session import materialise, run_dir
-from epigauge.sources import records, replay, streams, tables
+from epigauge.sources import dated, records, replay, streams, tables
 from epigauge.spec import BURDEN_METRICS, HEALTH, HEALTH_LABELS, METRICS, PROFILE_METRICS, IndicatorSpec
 from epigauge.streaming import keeper
 from epigauge.streaming.jobs import StreamOptions, finish, start_log, start_surveillance
@@ -109,6 +110,51 @@ def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def json_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that the feed's schema does not know, read back by path; of unusable records, too."""
+    text = F.to_json(
+        F.struct(
+            F.when(F.col("event_id") % 10 != 3, F.date_format("ts", EVENTS.time_format)).alias("Date"),
+            "event_type",
+            "value",
+            F.from_json("props", "k BIGINT").alias("props"),
+            F.array(F.col("user_id"), F.col("event_id")).alias("ids"),
+        )
+    )
+    raw = fixtures.events(spark, sf_dir).select(text.alias("value"))
+    decoded = records.decode(raw, EVENTS, fields="fields")
+    shown = [
+        records.field("fields", "$.ids[1]", "bigint").alias("event_id"),
+        records.field("fields", "$.props.k", "bigint").alias("k"),
+        records.field("fields", "$.props.k", "string").alias("k_text"),
+        records.field("fields", "$.ids[0]", "int").alias("user_id"),
+        records.field("fields", "$.nothing", "int").alias("nothing"),
+    ]
+    good = records.accepted(decoded).select(*shown, F.lit("accepted").alias("outcome"))
+    return good.unionByName(records.rejected(decoded).select(*shown, F.col("reject_reason").alias("outcome")))
+
+
+@query
+def replay_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged table through the streaming source of its own: one date a micro-batch (here a year's first day)."""
+    base = run_dir(spark, "dated")
+    daily = fixtures.daily_reports(spark, sf_dir).withColumn("year", F.trunc("day", "year"))
+    dated.stage(records.encode(daily, HEALTH, keep=("year",)), "year", f"{base}/table")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy(F.year(F.expr("arrived - INTERVAL 1 DAY")).alias("year")).agg(F.count("*").alias("records"))
+        counted.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{base}/out/{batch_id}")
+
+    stream = dated.dated_records(spark, f"{base}/table").writeStream.foreachBatch(write)
+    running = StreamOptions(f"{base}/checkpoint", every="0 seconds").start(spark, stream)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema("year int, records long, batch long").option("recursiveFileLookup", True).parquet(f"{base}/out")
+
+
 @query
 def replay_daily_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.records_per_date(fixtures.daily_reports(spark, sf_dir), "Date")
@@ -370,6 +416,44 @@ def _vulnerability(window_table: DataFrame) -> DataFrame:
     )
 
 
+def _moments(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
+    """Moments of the windows of odd years, kept as a table, and those of even years added to them."""
+    window_table = fixtures.windows(spark, sf_dir)
+    odd = F.year("window_start") % 2 == 1
+    kept = materialise(moments(window_table.where(odd), columns), "moments")
+    return merged_moments(kept.unionByName(moments(window_table.where(~odd), columns)), columns)
+
+
+@query
+def moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, mean, deviation and ends of each metric, and its correlation with the first one."""
+    m = read_moments(_moments(spark, sf_dir, METRICS), METRICS)
+    rows = [
+        (name, m.n, *(float(v) for v in (m.mean[i], m.deviation[i], m.low[i], m.high[i], m.correlation[0, i])))
+        for i, name in enumerate(METRICS)
+    ]
+    schema = "metric string, rows long, mean double, deviation double, least double, most double, related double"
+    told = spark.createDataFrame(rows, schema)
+    return told.select("metric", "rows", _rounded("mean"), _rounded("deviation"), "least", "most", _rounded("related"))
+
+
+@query
+def moments_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window's place on the first component, by arithmetic with the merged moments."""
+    m = read_moments(_moments(spark, sf_dir, BURDEN_METRICS), BURDEN_METRICS)
+    place = m.component(m.components(1)[0][0])
+    return fixtures.windows(spark, sf_dir).select(
+        F.to_date("window_start").alias("window_start"), "State", "Region_Index", (F.round(place, 5) + F.lit(0.0)).alias("pc1")
+    )
+
+
+@query
+def moments_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squared distances of the windows to the mean of their severity class, from moments by class."""
+    by_class = moments(fixtures.predictions(spark, sf_dir), METRICS, by=["Severity_Level"])
+    return within_cost(by_class, len(METRICS)).select("rows", _rounded("cost", 4))
+
+
 @query
 def pca_loading(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, facts = training.fit_vulnerability(fixtures.windows(spark, sf_dir))
@@ -501,14 +585,25 @@ def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two to seven clusters side by side; the row of the true number has an exact answer."""
+    """Two to seven clusters side by side. The true number has an exact answer; for every number the cost and the silhouette
+    are worked out again from the assignment alone."""
     table = training.stable_layout(fixtures.separated_windows(spark, sf_dir), HEALTH)
     scaled = training.scaled_features(table)[0].select("features").persist()
+    again = []
     try:
-        swept = clusters.sweep_k(scaled)
+        swept = {r["k"]: r for r in clusters.sweep_k(scaled).collect()}
+        for k, told in swept.items():
+            assigned = clusters.fit_kmeans(scaled, k).transform(scaled).withColumn("z", vector_to_array("features"))
+            assigned = assigned.select("prediction", "z", *[F.col("z")[i].alias(z) for i, z in enumerate(SCALED)])
+            cost = within_cost(moments(assigned, SCALED, by=["prediction"]), len(SCALED)).first()["cost"]
+            judged = clusters.silhouette(assigned, "prediction", "z", len(SCALED)).first()["silhouette"]
+            again.append((k, abs(cost - told["cost"]) < 1e-6 * cost, abs(judged - told["silhouette"]) < 1e-6))
     finally:
         scaled.unpersist()
-    return swept.where("k = 3").select("k", _rounded("cost", 4), _rounded("silhouette"))
+    true = swept[3]
+    rows = [(*row, true["cost"] if row[0] == 3 else None, true["silhouette"] if row[0] == 3 else None) for row in again]
+    told = spark.createDataFrame(rows, "k int, cost_agrees boolean, silhouette_agrees boolean, cost double, silhouette double")
+    return told.select("k", "cost_agrees", "silhouette_agrees", _rounded("cost", 4), _rounded("silhouette"))
 
 
 @query
@@ -543,11 +638,16 @@ def severity_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every feature once, the weights falling and one in sum: what holds whatever trees were fitted."""
-    ordered = training.feature_importance(_bundle(spark, sf_dir)[0], spark).collect()
-    weights = [row.importance for row in ordered]
-    row = (len({row.feature for row in ordered}), weights == sorted(weights, reverse=True), round(sum(weights), 6))
-    return spark.createDataFrame([row], "features int, falling boolean, total double")
+    """What carries the classes: the metrics, which tell the kinds apart, and not the region, which tells nothing."""
+    ordered = training.feature_importance(_bundle(spark, sf_dir)[0], spark).withColumn("place", F.monotonically_increasing_id())
+    ordered = materialise(ordered, "importance")
+    kind = F.when(F.col("feature").isin(*METRICS), F.lit("metric")).otherwise(F.lit("region")).alias("kind")
+    by_place = F.transform(F.array_sort(F.collect_list(F.struct("place", "importance"))), lambda p: p["importance"])
+    return ordered.groupBy(kind).agg(
+        F.count_distinct("feature").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        (by_place == F.reverse(F.array_sort(by_place))).alias("falling"),
+    )
 
 
 @query

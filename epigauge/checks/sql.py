@@ -212,6 +212,14 @@ _ORACLES = {
                count(*) AS records,
                sum(CASE WHEN event_id % 20 > 7 THEN 1 ELSE 0 END)::BIGINT AS values_read
         FROM events GROUP BY 1""",
+    "json_extra_fields": """
+        SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,
+               user_id::INTEGER AS user_id, NULL::INTEGER AS nothing,
+               CASE WHEN event_id % 10 = 3 THEN 'bad_time' ELSE 'accepted' END AS outcome
+        FROM events""",
+    "replay_by_date": f"""WITH {DAILY}
+        SELECT year(day)::INTEGER AS year, count(*) AS records, row_number() OVER (ORDER BY year(day)) - 1 AS batch
+        FROM daily GROUP BY year(day)""",
     "replay_daily_batches": f"""WITH {DAILY} SELECT "Date", count(*) AS records FROM daily GROUP BY 1""",
     "replay_files": f"""WITH {DAILY} SELECT year(day)::INTEGER AS tick, count(*) AS records FROM daily GROUP BY 1""",
     "preview": f"""WITH {DAILY}
@@ -313,11 +321,17 @@ _ORACLES = {
           SELECT min(Vulnerability_Score) AS low, max(Vulnerability_Score) AS high, count(*)::DOUBLE AS n,
                  stddev_samp(Vulnerability_Score) * pow(count(*)::DOUBLE, -0.2) AS h
           FROM predictions),
+        placed AS (
+          SELECT floor((Vulnerability_Score - low) / (h / 256)) AS bin, (Vulnerability_Score - low) / (h / 256) - bin AS part
+          FROM predictions, stats),
+        weights AS (
+          SELECT t, sum(weight) AS weight
+          FROM (SELECT bin AS t, 1 - part AS weight FROM placed UNION ALL SELECT bin + 1, part FROM placed) GROUP BY t),
+        bins AS (SELECT low + t * (h / 256) AS t, weight FROM weights, stats),
         grid AS (SELECT g.point, low + g.point * ((high - low) / 199) AS x FROM range(200) AS g(point), stats)
         SELECT point::INTEGER AS point, round(x, 6) AS "at",
-               round(sum(exp(-0.5 * ((x - Vulnerability_Score) / h) * ((x - Vulnerability_Score) / h))
-                   / (n * h * sqrt(2 * pi()))), 8) AS density
-        FROM predictions, stats, grid GROUP BY ALL""",
+               round(sum(weight * exp(-0.5 * ((x - t) / h) * ((x - t) / h)) / (n * h * sqrt(2 * pi()))), 8) AS density
+        FROM bins, stats, grid GROUP BY ALL""",
     # features and models
     "region_index": f"""WITH {DAILY}, counts AS (SELECT Region_Type, count(*) AS n FROM daily GROUP BY 1)
         SELECT Region_Type, (row_number() OVER (ORDER BY n DESC, Region_Type) - 1)::DOUBLE AS region_code, n
@@ -327,6 +341,13 @@ _ORACLES = {
     "minmax_score": f"""WITH {PREDICTIONS}
         SELECT window_start, State, Region_Index, round(1 + (burden - low) / (high - low) * 99, 6) AS scaled_burden
         FROM predictions, spread""",
+    "moments_merged": f"""WITH {WINDOWS}
+        {" UNION ALL ".join(f"SELECT '{m}' AS metric, count(*) AS rows, round(avg({m}), 6) AS mean, round(stddev_samp({m}), 6) AS deviation, min({m}) AS least, max({m}) AS most, round(corr({METRICS[0]}, {m}), 6) + 0.0 AS related FROM windows" for m in METRICS)}""",
+    "moments_score": f"""WITH RECURSIVE {COMPONENT}
+        SELECT window_start, State, Region_Index, round(pc1, 5) + 0.0 AS pc1 FROM projected""",
+    "moments_cost": f"""WITH {PREDICTIONS}, centred AS (
+          SELECT {" + ".join(f"pow({m} - avg({m}) OVER (PARTITION BY Severity_Level), 2)" for m in METRICS)} AS d FROM predictions)
+        SELECT count(*) AS rows, round(sum(d), 4) AS cost FROM centred""",
     "pca_loading": f"""WITH RECURSIVE {COMPONENT}
         SELECT unnest([{", ".join(f"'{m}'" for m in BURDEN_METRICS)}]) AS metric,
                unnest([round(x, 6) for x in w]) AS loading
@@ -445,8 +466,10 @@ _ORACLES = {
     "kmeans_clusters": f"""WITH {SEPARATED}
         SELECT window_start, State, Region_Index, truth AS severity FROM separated""",
     "k_sweep": f"""WITH {SEPARATED_ASSIGNED}, {SEPARATED_SILHOUETTE.removeprefix(SEPARATED_SCALED).removeprefix(", ")}
-        SELECT 3 AS k, (SELECT round(sum(squared_distance), 4) FROM assigned) AS cost, silhouette
-        FROM ({_SILHOUETTE_OF})""",
+        SELECT k::INTEGER AS k, true AS cost_agrees, true AS silhouette_agrees,
+               CASE WHEN k = 3 THEN (SELECT round(sum(squared_distance), 4) FROM assigned) END AS cost,
+               CASE WHEN k = 3 THEN silhouette END AS silhouette
+        FROM ({_SILHOUETTE_OF}), range(2, 8) t(k)""",
     "cluster_map_2d": f"""WITH RECURSIVE {SEPARATED_PLANE}
         SELECT window_start, State, region_code,
                round({" + ".join(f"z_{i} * first.w[{i + 1}]" for i in range(_N))}, 5) + 0.0 AS PCA1,
@@ -461,7 +484,9 @@ _ORACLES = {
                1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS weighted_precision, 1.0::DOUBLE AS weighted_recall,
                1.0::DOUBLE AS weighted_f1
         FROM held""",
-    "feature_importance": f"""SELECT {len(FEATURES)} AS features, true AS falling, 1.0::DOUBLE AS total""",
+    "feature_importance": f"""
+        SELECT 'metric' AS kind, {len(METRICS)}::BIGINT AS features, 1.0::DOUBLE AS total, true AS falling
+        UNION ALL SELECT 'region', 1, 0.0, true""",
     "severity_predict": f"""WITH {SEPARATED}
         SELECT truth AS Severity_Level, ['Low Risk', 'Moderate Risk', 'High Risk'][truth + 1] AS Severity, count(*) AS n
         FROM separated GROUP BY 1, 2""",

@@ -29,9 +29,12 @@ def event_time(text: Column, pattern: str) -> Column:
     return F.try_to_timestamp(text, F.lit(pattern))
 
 
-def decode(raw: DataFrame, spec: IndicatorSpec, value: str = "value") -> DataFrame:
+def decode(raw: DataFrame, spec: IndicatorSpec, value: str = "value", fields: str | None = None) -> DataFrame:
     """Typed columns, event time and ``reject_reason`` (null for a usable record).
 
+    With ``fields`` a VARIANT column of that name holds the whole record, what the schema does not know included; it is
+    null for what is no strict JSON (see :func:`field`).
+
     NaN and infinite numbers are turned into null, since one of them would spoil a whole window's sum. A
     number that does not parse is null too, and the record is kept. Event times are held against the
     column ``arrived`` if the source gives one, else against the present.
@@ -39,9 +42,9 @@ def decode(raw: DataFrame, spec: IndicatorSpec, value: str = "value") -> DataFra
     schema = spec.record_schema()
     arrived = F.col("arrived") if "arrived" in raw.columns else F.current_timestamp()
     text = raw.select(F.col(value).cast("string").alias("raw"), arrived.alias("came"))
-    fields = _computed_once(text, F.from_json("raw", schema))
+    known = _computed_once(text, F.from_json("raw", schema))
     time = event_time(F.col(spec.time_text), spec.time_format)
-    timed = _computed_once(fields, F.struct(time.alias(spec.time)))
+    timed = _computed_once(known, F.struct(time.alias(spec.time)))
     doubles = {f.name for f in schema if f.dataType.typeName() == "double"}
     typed = timed.select(
         "raw",
@@ -49,7 +52,13 @@ def decode(raw: DataFrame, spec: IndicatorSpec, value: str = "value") -> DataFra
         *[finite_or_null(n).alias(n) if n in doubles else F.col(n) for n in schema.fieldNames()],
         spec.time,
     )
-    return typed.withColumn("reject_reason", _reject_reason(spec)).drop("came")
+    judged = typed.withColumn("reject_reason", _reject_reason(spec)).drop("came")
+    return judged.withColumn(fields, F.try_parse_json("raw")) if fields else judged
+
+
+def field(fields: str | Column, path: str, kind: str) -> Column:
+    """One field of a record by its path (``$.a.b[0]``); null if it is not there or not of that kind."""
+    return F.try_variant_get(F.col(fields) if isinstance(fields, str) else fields, path, kind)
 
 
 def _computed_once(df: DataFrame, fields: Column) -> DataFrame:
@@ -79,7 +88,9 @@ def accepted(decoded: DataFrame) -> DataFrame:
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("reject_reason").isNotNull()).select("raw", "reject_reason")
+    """The text of each record that cannot be used, why, and its fields if they were asked for."""
+    fields = [f.name for f in decoded.schema if f.dataType.typeName() == "variant"]
+    return decoded.where(F.col("reject_reason").isNotNull()).select("raw", "reject_reason", *fields)
 
 
 def drop_redelivered(reports: DataFrame, spec: IndicatorSpec) -> DataFrame:

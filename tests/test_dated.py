@@ -1,0 +1,155 @@
+"""The dated source, fields outside the schema, and rank and density at their edges."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from epigauge.operators.distribution import BINS_PER_BANDWIDTH, DENSITY_ERROR, density
+from epigauge.operators.ranking import rank_descending
+from epigauge.sources.dated import BEFORE, DatedReader, dated_records, stage
+from epigauge.sources.records import accepted, decode, field, rejected
+from epigauge.sources.streams import file_records
+from epigauge.spec import IndicatorSpec
+from epigauge.streaming.jobs import StreamOptions, finish, start_quarantine
+
+SPEC = IndicatorSpec(metrics=("x",), burden=("x",))
+
+
+def staged(spark, folder, *days):
+    rows = [(dt.date.fromisoformat(d), f'{{"n": {i}}}') for i, d in enumerate(days)]
+    stage(spark.createDataFrame(rows, "day date, value string"), "day", f"{folder}/table")
+    return f"{folder}/table"
+
+
+def collected(spark, records, folder, **trigger):
+    """Rows per micro-batch, in order."""
+    batches: list[list] = []
+    writer = records.writeStream.foreachBatch(lambda df, _: batches.append(sorted(map(tuple, df.collect()))))
+    query = writer.option("checkpointLocation", f"{folder}/c").trigger(**(trigger or {"processingTime": "0 seconds"})).start()
+    try:
+        query.awaitTermination() if trigger else query.processAllAvailable()
+    finally:
+        query.stop()
+    return batches
+
+
+def test_one_date_per_batch_in_order_and_on_after_a_restart(spark, tmp_path):
+    path = staged(spark, tmp_path, "2024-01-03", "2024-01-01", "2024-01-01", "2024-02-10")
+    got = collected(spark, dated_records(spark, path), tmp_path)
+    assert [[v for v, _ in b] for b in got] == [['{"n": 1}', '{"n": 2}'], ['{"n": 0}'], ['{"n": 3}']]
+    assert got[0][0][1] == dt.datetime(2024, 1, 2)
+    later = spark.createDataFrame([(dt.date(2024, 2, 11), "new"), (dt.date(2024, 3, 1), "newer")], "day date, value string")
+    later.select("value", F.date_format("day", "yyyy-MM-dd").alias("date")).write.partitionBy("date").mode("append").parquet(path)
+    assert [[v for v, _ in b] for b in collected(spark, dated_records(spark, path), tmp_path)] == [["new"], ["newer"]]
+    assert collected(spark, dated_records(spark, path), tmp_path) == []
+
+
+def test_one_date_a_start_if_it_stops_when_done(spark, tmp_path):
+    path = staged(spark, tmp_path, "2024-01-01", "2024-01-02", "2024-01-05")
+    for want in ('{"n": 0}', '{"n": 1}', '{"n": 2}'):
+        got = collected(spark, dated_records(spark, path), tmp_path, availableNow=True)
+        assert [v for b in got for v, _ in b] == [want]
+    assert collected(spark, dated_records(spark, path), tmp_path, availableNow=True) == []
+
+
+def test_a_failed_batch_is_given_again(spark, tmp_path):
+    path = staged(spark, tmp_path, "2024-01-01", "2024-01-02")
+    seen: list[tuple] = []
+
+    def write(df, batch_id):
+        seen.append((batch_id, [r["value"] for r in df.collect()]))
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        writer = dated_records(spark, path).writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_path}/c")
+        query = writer.start()
+        try:
+            query.processAllAvailable()
+        except Exception as error:
+            assert "lost" in str(error)
+        finally:
+            query.stop()
+    assert seen == [(0, ['{"n": 0}']), (1, ['{"n": 1}']), (1, ['{"n": 1}'])]
+
+
+def test_offsets_without_a_table(tmp_path):
+    reader = DatedReader(f"{tmp_path}/none")
+    assert reader.initialOffset() == reader.latestOffset() == {"date": BEFORE}
+    assert reader.partitions({"date": BEFORE}, {"date": BEFORE}) == []
+
+
+def test_unknown_fields_stay_readable(spark, tmp_path, rows):
+    lines = [
+        {"Date": "01-01-2024", "State": "A", "Region_Index": 0.0, "x": 1.0, "tag": "t", "more": {"k": [1, {"deep": 7}]}},
+        {"Date": "2024-01-01", "State": "B", "Region_Index": 0.0, "x": 1.0, "tag": "late"},
+        {"Date": "01-01-2024", "Region_Index": 0.0, "tag": 5},
+        {"Date": "01-01-2024", "State": "C", "Region_Index": 0.0},
+    ]
+    texts = [json.dumps(line) for line in lines] + ["{bad", '{"Date": "01-01-2024", "State": "D", "Region_Index": 0.0, "x": NaN}']
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    decoded = decode(raw, SPEC, fields="all_fields")
+    got = accepted(decoded).select(
+        "State", "x", field("all_fields", "$.tag", "string").alias("tag"), field("all_fields", "$.more.k[1].deep", "int").alias("deep")
+    )
+    assert rows(got) == [("A", 1.0, "t", 7), ("C", None, None, None), ("D", None, None, None)]
+    bad = rejected(decoded).select("reject_reason", field("all_fields", "$.tag", "string").alias("tag"))
+    assert rows(bad) == [("bad_json", None), ("bad_time", "late"), ("missing_key", "5")]
+    assert field("all_fields", "$.tag", "int") is not None
+    assert rows(decoded.where("State = 'B'").select(field("all_fields", "$.tag", "int").alias("n"))) == [(None,)]
+    assert "all_fields" not in decode(raw, SPEC).columns
+    # In a stream's quarantine, too.
+    raw.write.text(f"{tmp_path}/in")
+    stream = decode(file_records(spark, f"{tmp_path}/in"), SPEC, fields="all_fields")
+    finish([start_quarantine(stream, f"{tmp_path}/bad", StreamOptions(f"{tmp_path}/c"))])
+    kept = spark.read.parquet(f"{tmp_path}/bad").select("reject_reason", field("all_fields", "$.tag", "string").alias("tag"))
+    assert rows(kept) == rows(bad)
+
+
+def plain_rank(values):
+    return [None if v is None else 1 + sum(1 for w in values if w is not None and w > v) for v in values]
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7])
+def test_rank_of_hot_scores(spark, partitions):
+    rng = np.random.default_rng(partitions)
+    values = [float(v) for v in rng.integers(0, 30, 300)] + [5.0] * 900 + [None] * 200 + [29.0] * 100
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, s double")
+    general = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r["id"]: r["rank"] for r in rank_descending(df, "s").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", general)
+    assert [got[i] for i in range(len(values))] == plain_rank(values)
+
+
+def test_rank_of_nothing(spark):
+    assert rank_descending(spark.createDataFrame([], "s double"), "s").collect() == []
+    assert rank_descending(spark.createDataFrame([(None,)], "s double"), "s").collect() == [(None, None)]
+
+
+def test_density_is_within_its_bound(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate((rng.standard_normal(4_000), 8 + 0.2 * rng.standard_normal(1_000), [40.0], [0.5] * 700))
+    got = density(spark.createDataFrame([(float(v),) for v in x], "s double"), "s").orderBy("point").collect()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    at = np.linspace(x.min(), x.max(), 200)
+    want = np.exp(-0.5 * ((at[:, None] - x[None]) / h) ** 2).sum(1) / (len(x) * h * math.sqrt(2 * math.pi))
+    np.testing.assert_allclose([r["at"] for r in got], at, atol=1e-9)
+    assert np.abs(np.array([r["density"] for r in got]) - want).max() <= DENSITY_ERROR / h
+    assert BINS_PER_BANDWIDTH >= 100
+
+
+def test_density_reads_scores_twice_and_shuffles_bins(spark, tmp_path):
+    spark.range(1_000).select((F.col("id") % 50).cast("double").alias("s")).write.parquet(f"{tmp_path}/t")
+    curve = density(spark.read.parquet(f"{tmp_path}/t"), "s")
+    assert curve.count() == 200
+    plan = curve._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
