@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace as replace_spec
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,8 +16,9 @@ from epigauge.sources.records import encode, event_time
 from epigauge.sources.replay import replay
 from epigauge.sources.streams import file_records, kafka_records, kafka_send
 from epigauge.sources.tables import read_csv, read_parquet, write_csv, write_parquet
-from epigauge.spec import HEALTH
+from epigauge.spec import CALENDAR_DAYS, HEALTH
 from epigauge.streaming.jobs import finish, start_surveillance
+from epigauge.streaming.keeper import corrected, start_kept_surveillance
 from epigauge.streaming.log import PredictionLog
 
 
@@ -64,6 +66,21 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.topic
         else file_records(spark, args.folder, args.files_per_batch)
     )
+    if args.keep_late or args.calendar:
+        log = PredictionLog(args.log, replace_spec(HEALTH, calendar=args.calendar))
+        finish(
+            start_kept_surveillance(
+                records,
+                log,
+                args.quarantine,
+                args.checkpoint,
+                score=lambda sums: score_windows(sums, bundle),
+                every=args.every,
+                name="surveillance",
+                state_partitions=args.state_partitions,
+            )
+        )
+        return
     finish(
         start_surveillance(
             records,
@@ -81,6 +98,13 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def late(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Windows of a log of kept windows, with the reports that came after their end added."""
+    log = PredictionLog(args.log)
+    states = log.windows(spark).unionByName(log.skipped(spark), allowMissingColumns=True)
+    _write(corrected(states, log.late(spark), log.spec).drop("day_words"), args.output)
+
+
 def serve(spark: SparkSession, args: argparse.Namespace) -> None:
     for name, table in build_board(PredictionLog(args.log).latest(spark, finality=True)).items():
         _write(table, f"{args.output}/{name}")
@@ -123,6 +147,9 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--missing-counts", action="store_true", help="log how many values each sum lacks")
     live.add_argument("--full-windows", action="store_true", help="scale partly reported windows before scoring")
     live.add_argument("--state-partitions", type=int, help="fixed by the first start on a checkpoint")
+    live.add_argument("--calendar", choices=list(CALENDAR_DAYS), help="windows by calendar instead of 30 days")
+    live.add_argument("--keep-late", action="store_true", help="log reports that come after their window's end")
+    command(late, "log", "output")
     command(serve, "log", "output")
     command(compact, "log").add_argument("--retain-after", type=float, help="delete folded folders after so many seconds")
     return top

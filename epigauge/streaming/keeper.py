@@ -17,10 +17,11 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from epigauge.functions.numeric import DAYS_PER_WORD
-from epigauge.operators.windows import added_windows, day_of_window, days_in, window_bounds
+from epigauge.functions.numeric import DAYS_PER_WORD, all_present
+from epigauge.operators.windows import added_windows, day_of_window, days_in, watermarked, window_bounds
+from epigauge.sources.records import accepted, decode
 from epigauge.spec import IndicatorSpec
-from epigauge.streaming.jobs import ROWS_PER_FILE, StreamOptions, run_id_of
+from epigauge.streaming.jobs import ROWS_PER_FILE, StreamOptions, run_id_of, start_quarantine
 from epigauge.streaming.log import PredictionLog
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
@@ -188,8 +189,9 @@ def start_kept(
 ) -> StreamingQuery:
     """Write kept windows to the log: states (scored, if asked for) as its batches, late reports beside them.
 
-    Both parts of a micro-batch are written again in place if it is retried. ``log.late`` reads the late reports,
-    ``log.windows`` the states; :func:`corrected` adds them up.
+    All parts of a micro-batch are written again in place if it is retried. ``log.late`` reads the late reports,
+    ``log.windows`` the states, with their sums also where they are scored, ``log.skipped`` those that cannot be scored because a
+    feature is missing; :func:`corrected` adds them up.
     """
     spec = log.spec
     run_id = run_id_of(reports.sparkSession, options.checkpoint)
@@ -197,19 +199,58 @@ def start_kept(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = as_windows(batch, spec).persist()
         try:
-            n = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-            states = rows.where(F.col("kind") != LATE).withColumn("is_closed", F.col("kind") == FINAL).drop("kind")
-            kept = n.get(OPEN, 0) + n.get(FINAL, 0)
+            holed = ~all_present(spec.features) if score else F.lit(False)
+            told = F.col("kind") == LATE
+            late, skipped, kept = rows.agg(F.count_if(told), F.count_if(~told & holed), F.count_if(~told & ~holed)).first()
+            states = rows.where(~told).withColumn("is_closed", F.col("kind") == FINAL).drop("kind")
             if kept:
-                log.append((score(states) if score else states).coalesce(1 + kept // ROWS_PER_FILE), run_id, batch_id)
-            if n.get(LATE):
-                log.append_late(rows.where(F.col("kind") == LATE).drop("kind").coalesce(1 + n[LATE] // ROWS_PER_FILE), run_id, batch_id)
+                files = 1 + kept // ROWS_PER_FILE
+                log.append(with_sums(states, spec, score).repartition(files) if score else states.coalesce(files), run_id, batch_id)
+            if skipped:
+                log.append_skipped(states.where(holed).coalesce(1 + skipped // ROWS_PER_FILE), run_id, batch_id)
+            if late:
+                log.append_late(rows.where(told).drop("kind").coalesce(1 + late // ROWS_PER_FILE), run_id, batch_id)
         finally:
             rows.unpersist()
 
     return options.start(reports.sparkSession, kept_windows(reports, spec, changes).writeStream.outputMode("append").foreachBatch(write))
 
 
+def with_sums(states: DataFrame, spec: IndicatorSpec, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Scored windows with their sums, which a score may leave out."""
+    scored = score(states.withColumn("sums_", F.struct(*spec.metrics)))
+    gone = [m for m in spec.metrics if m not in scored.columns]
+    return scored.select("*", *[F.col(f"sums_.{m}") for m in gone]).drop("sums_")
+
+
+def start_kept_surveillance(
+    records: DataFrame,
+    log: PredictionLog,
+    quarantine_path: str,
+    checkpoint: str,
+    score: Callable[[DataFrame], DataFrame] | None = None,
+    every: str | None = None,
+    name: str | None = None,
+    changes: bool = True,
+    state_partitions: int | None = None,
+) -> list[StreamingQuery]:
+    """The whole stream with kept windows: decode, set bad records aside, keep windows and late reports, score, log.
+
+    The windows are those of ``log.spec``, calendar ones included. If one query cannot start, none runs.
+    """
+    decoded = decode(records, log.spec)
+
+    def options(part: str, rocksdb: bool) -> StreamOptions:
+        return StreamOptions(f"{checkpoint}/{part}", f"{name}-{part}" if name else None, every, state_partitions, rocksdb)
+
+    first = start_kept(watermarked(accepted(decoded), log.spec), log, options("log", True), changes, score)
+    try:
+        return [first, start_quarantine(decoded, quarantine_path, options("quarantine", False))]
+    except BaseException:
+        first.stop()
+        raise
+
+
 class NewestKeeper(StatefulProcessor):
     """The newest window of one key; told again whenever a later one, or a later state of it, comes."""
 

@@ -60,3 +60,27 @@ def test_from_raw_history_to_dashboard(spark, tmp_path):
     assert spark.read.parquet(f"{board}/top_vulnerable").count() == 6
     assert {r.Location for r in spark.read.parquet(f"{board}/ranking").collect()} == {f"{s} (Rural)" for s in "ABCDEF"}
     assert spark.read.parquet(f"{base}/q").count() == 0
+
+
+def test_months_and_late_reports_by_command(spark, tmp_path):
+    base = str(tmp_path)
+    write_csv(history(spark), f"{base}/raw.csv")
+    write_csv(daily(spark), f"{base}/daily.csv")
+    commands.main(["train", "--input", f"{base}/raw.csv", "--bundle", f"{base}/bundle"])
+    commands.main(["send", "--input", f"{base}/daily.csv", "--folder", f"{base}/in"])
+    run = ["stream", "--folder", f"{base}/in", "--bundle", f"{base}/bundle", "--log", f"{base}/log", "--calendar", "month"]
+    run += ["--quarantine", f"{base}/q", "--checkpoint", f"{base}/c", "--state-partitions", "2", "--keep-late"]
+    commands.main(run)
+    # The second day of January comes once more, long after the month has ended.
+    again = daily(spark).where("Date = '02-01-2024'")
+    write_csv(again, f"{base}/again.csv")
+    commands.main(["send", "--input", f"{base}/again.csv", "--folder", f"{base}/in"])
+    commands.main(run)
+    commands.main(["late", "--log", f"{base}/log", "--output", f"{base}/late"])
+
+    log = PredictionLog(f"{base}/log")
+    months = log.windows(spark).groupBy(F.date_format("window_start", "yyyy-MM").alias("m"), "is_closed").count().collect()
+    assert sorted(map(tuple, months)) == [("2024-01", True, 6), ("2024-02", False, 6)]
+    assert log.windows(spark).where("Vulnerability_Score is null").count() == 0
+    late = spark.read.parquet(f"{base}/late").groupBy("window_start").agg(F.sum("late_reports"), F.sum("reports"), F.max("days_seen"))
+    assert sorted((r[0].month, *r[1:]) for r in late.collect()) == [(1, 6, 6 * 32, 31), (2, 0, 6 * 19, 19)]
