@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -75,7 +75,30 @@ def tables_dir(spark: SparkSession) -> str:
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A path of its own for one run; nothing else writes there."""
-    return f"{tables_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{tables_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def inner_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was materialised inside, however it ends.
+
+    For a caller that writes its result inside: frames made there can no longer be read afterwards. Of scopes open at the same
+    time (threads) each removes what any of them made since it began, so they must not overlap but nest.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            remove(spark, path)
 
 
 def clear_tables(spark: SparkSession) -> None:
