@@ -9,11 +9,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from epigauge.llm.common import number_within, text_of
+from epigauge.llm.common import free_name, number_within, text_of
 from epigauge.llm.graph import components
 from epigauge.llm.nndescent import runs
 from epigauge.session import materialise
@@ -37,7 +37,7 @@ class NearDup:
     percent: int = 85
     bands: int = 24
     rows: int = 6
-    centres: tuple[int, ...] = (1, 2, 4)
+    centres: tuple[int, ...] = (1, 4)
     block: int = 256
 
 
@@ -123,7 +123,10 @@ class Signer:
 
 
 def signatures(docs: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, digest, keys`` of every row; sets too small to resemble another one have no keys."""
+    """``doc_id, text_code, n_shingles, digest, keys`` of every row; sets too small to resemble another one have no keys.
+
+    ``text_code`` names the text, ``digest`` its set.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(near.words), Signer(near)
@@ -136,34 +139,40 @@ def signatures(docs: DataFrame, near: NearDup, id_col: str, text_col: str) -> Da
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 keys.append(signer.keys(s) if len(s) >= least else [])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "keys"],
-            )
+            named = [rows.column("doc_id"), rows.column("text_code")]
+            made = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*named, *made], ["doc_id", "text_code", "n_shingles", "digest", "keys"])
+
+    texts = coded_texts(docs, id_col, text_col)
+    return texts.mapInArrow(sign, "doc_id long, text_code string, n_shingles long, digest binary, keys array<long>")
 
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return chosen.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, keys array<long>")
+
+def coded_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("text_code"), text.alias("text"))
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
-    """``node, hashes`` (8 bytes each, sorted) of the wanted sets, made from the texts again."""
-    ids = nodes.select("node", F.col("rep_id"), F.col("digest").alias("wanted"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    chosen = texts.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep_id")))
+    """``node, hashes`` (8 bytes each, sorted) of the wanted sets, made from the texts again.
+
+    A set is made from one text: rows are matched by id and text, so rows that share an id meet their own node only.
+    """
+    ids = nodes.select("node", "rep_id", "rep_code").hint("shuffle_hash")
+    texts = coded_texts(docs, id_col, text_col)
+    chosen = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_code") == F.col("rep_code")))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(near.words)
+        shingler, made = Shingler(near.words), set()
         for rows in batches:
             kept, out = [], []
-            for node, wanted, text in zip(*(rows.column(c) for c in ("node", "wanted", "text")), strict=True):
-                raw = shingler.shingles(text.as_py()).tobytes()
-                if hashlib.blake2b(raw, digest_size=16).digest() == wanted.as_py():
-                    kept.append(node.as_py())
-                    out.append(raw)
+            for node, text in zip(rows.column("node").to_pylist(), rows.column("text"), strict=True):
+                if node not in made:  # a row may stand there several times
+                    made.add(node)
+                    kept.append(node)
+                    out.append(shingler.shingles(text.as_py()).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(out, pa.binary())], ["node", "hashes"])
 
-    sets = chosen.select("node", "wanted", "text").mapInArrow(make, "node long, hashes binary")
-    return sets
+    return chosen.select("node", "text").mapInArrow(make, "node long, hashes binary")
 
 
 def shared(left: str, right: str) -> Column:
@@ -198,28 +207,44 @@ def near_groups(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc
 
     Equal sets are one node. In each bucket one node is the centre and meets the others, so the pairs grow with
     the rows; pairs are confirmed on their full sets. Buckets whose nodes are not yet connected get more
-    centres, and what these leave open is compared in full. Texts without words are linked with nothing. A null id comes after all others. Of repeated rows one is kept. Other columns are not
-    looked at. An empty table gives an empty one.
+    centres, and what these leave open is compared in full. Texts without words are linked with nothing, so all of them are
+    kept. One row of a group is kept, also where ids are null or shared: a null id comes after all others, of the sets under one
+    id the one with the smallest digest leads, of repeated rows one stays. Very long texts are read whole, some words at a
+    time. Ids must be whole numbers; other columns are not looked at. An empty table gives an empty one.
     """
-    near = near or NearDup()
+    found = grouped(docs, near or NearDup(), id_col, text_col)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
+    """The columns of :func:`near_groups` and ``text_code``: what tells rows with one id apart."""
     signed = materialise(signatures(docs, near, id_col, text_col), "signatures")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "keys")).alias("rep")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_code", "n_shingles", "keys")).alias("rep")
     reps = signed.filter("n_shingles > 0").groupBy("digest").agg(first)
-    reps = reps.select("digest", F.col("rep.doc_id").alias("rep_id"), F.col("rep.n_shingles").alias("n"), F.col("rep.keys").alias("keys"))
+    reps = reps.select(
+        "digest",
+        F.col("rep.doc_id").alias("rep_id"),
+        F.col("rep.text_code").alias("rep_code"),
+        F.col("rep.n_shingles").alias("n"),
+        F.col("rep.keys").alias("keys"),
+    )
     code = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long").alias("code")
     reps = materialise(reps.select(F.monotonically_increasing_id().alias("node"), code, "*"), "nodes")
     roots = linked_nodes(docs, reps, near, id_col, text_col)
     named = reps.select("node", "digest", "rep_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("rep_id").alias("component_id"))
-    named = named.join(least, "root").select("digest", "component_id")
+    # One set leads a group: ids alone would not tell one row where they are null or shared.
+    lead = F.min(F.struct(F.col("rep_id").isNull().alias("none"), "rep_id", "digest")).alias("lead")
+    named = named.join(named.groupBy("root").agg(lead), "root")
+    named = named.select("digest", F.col("lead.rep_id").alias("component_id"), (F.col("digest") == F.col("lead.digest")).alias("leads"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    found = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").withColumn("component_id", own)
+    found = signed.drop("keys").join(named, "digest", "left").withColumn("component_id", own)
     # Dealt out by a value of its own: under the digest alone the copies of a text would stay in one task.
     found = found.withColumn("row", F.struct("doc_id", "digest"))
-    again = F.row_number().over(Window.partitionBy("row").orderBy("component_id"))
-    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & ((again == 1) | (F.col("n_shingles") == 0))
-    return found.withColumn("kept", kept).select("doc_id", "n_shingles", "component_id", "kept")
+    again = F.row_number().over(Window.partitionBy("row").orderBy("text_code"))
+    first_row = F.col("leads") & F.col("doc_id").eqNullSafe(F.col("component_id")) & (again == 1)
+    kept = F.when(F.col("n_shingles") > 0, first_row).otherwise(F.lit(True))
+    return found.withColumn("kept", kept).select("doc_id", "text_code", "n_shingles", "component_id", "kept")
 
 
 def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, text_col: str) -> DataFrame:
@@ -235,28 +260,17 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
     crowded = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("key")
     buckets = materialise(dealt.distinct().join(crowded, "key"), "buckets")
     wanted = buckets.select("node").distinct()
-    wanted = reps.select("node", "rep_id", "digest").join(wanted, "node")
+    wanted = reps.select("node", "rep_id", "rep_code").join(wanted, "node")
     sets = materialise(full_sets(docs, wanted, near, id_col, text_col).dropDuplicates(["node"]), "sets")
-    tested = spark.createDataFrame([], "a long, b long")
-    links = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
-    done = spark.createDataFrame([], "key long, node long")
+    tested = links = roots = done = None
     for turn, width in enumerate(near.centres):
-        state = sizes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        ends = links.select(F.explode(F.array("a", "b")).alias("node"))
-        state = state.join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "node", "left")
-        members = buckets.join(state, "node")
-        parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-        spread = parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-        spread = materialise(spread.select("key"), "spread")
-        if spread.isEmpty():
-            return roots
-        apart = members.join(spread, "key").join(parts, ["key", "root"])
+        apart = unsettled(buckets, sizes, roots, links)
+        if apart.isEmpty():
+            return nothing(spark) if roots is None else roots
         # The first centre is the same node in all buckets that a group shares, so its pairs are few; later
         # ones differ from bucket to bucket, and stand in small components where there are some.
-        order = drawn(turn) if turn else F.col("code")
         slot = F.pmod(F.xxhash64("code", F.lit(turn)), F.lit(width)).alias("slot")
-        ordered = apart.withColumn("order", order)
+        ordered = apart.withColumn("order", drawn(turn) if turn else F.col("code"))
 
         def first(by: str) -> list[Column]:
             return [F.min_by(c, by).alias(a) for c, a in (("node", "a"), ("root", "a_root"), ("n", "a_n"))]  # noqa: B023
@@ -267,20 +281,43 @@ def linked_nodes(docs: DataFrame, reps: DataFrame, near: NearDup, id_col: str, t
             hubs = apart.filter("links > 0").withColumn("order", F.struct(-F.col("links"), "code"))
             centres = centres.unionByName(hubs.groupBy("key").agg(*first("order")))
         centres = materialise(centres, "centres")
-        done = done.unionByName(centres.select("key", F.col("a").alias("node")))
         met = apart.join(centres, "key").filter("root <> a_root")
         fits = 100 * F.least("n", "a_n") >= near.percent * F.greatest("n", "a_n")
         pairs = met.filter(fits).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
         found = materialise(confirmed(pairs, sets, near), "links")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(found)
-        if not found.isEmpty():
+        was = centres.select("key", F.col("a").alias("node"))
+        tested, links, done = (new if old is None else old.unionByName(new) for old, new in ((tested, pairs), (links, found), (done, was)))
+        if roots is None:
+            roots = components(found)
+        elif not found.isEmpty():
             roots = grown(roots, found)
     found = materialise(open_links(buckets, sizes, roots, done, sets, near), "links")
     return roots if found.isEmpty() else grown(roots, found)
 
 
+def nothing(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "node long, root long")
+
+
+def unsettled(buckets: DataFrame, sizes: DataFrame, roots: DataFrame | None, links: DataFrame | None) -> DataFrame:
+    """``key, node, code, n, root, links, size``: the members of buckets that hold several components, written once a turn.
+
+    ``size`` counts a component's members in the bucket, ``links`` a node's confirmed ones.
+    """
+    if roots is None:  # every node is a component of its own, and every bucket holds several
+        alone = buckets.join(sizes, "node").withColumns({"root": F.col("node"), "links": F.lit(0).cast("long"), "size": F.lit(1).cast("long")})
+        return materialise(alone, "apart")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    state = sizes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(ends, "node", "left")
+    members = buckets.join(state, "node")
+    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    spread = parts.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one < other").select("key")
+    return materialise(members.join(spread, "key").join(parts, ["key", "root"]), "apart")
+
+
 def drawn(turn: int) -> Column:
     """Small components first, their nodes in an order of the bucket's own; for components of any size."""
     return F.struct("size", F.xxhash64("code", "key", F.lit(turn)))
@@ -357,9 +394,34 @@ def connecting(sets: list[np.ndarray], roots: np.ndarray, left: np.ndarray, righ
 
 
 def dedup(docs: DataFrame, near: NearDup | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the documents that stay, with all their columns; rows that share an id go together."""
-    groups = near_groups(docs, near, id_col, text_col)
+    """The rows of the documents that stay, with all their columns: one of each group.
+
+    Rows are decided by id and text, so rows that share an id, or have none, don't keep each other. Of rows that agree in
+    both one stays, any; texts without words all stay. Nulls, long texts and empty tables as in :func:`near_groups`.
+    """
+    by_text = grouped(docs, near or NearDup(), id_col, text_col).groupBy("doc_id", "text_code")
+    decided = by_text.agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n_shingles")
+    )
+    decided = materialise(decided, "decided")
+    by_id = decided.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.sum("rows").alias("rows"))
+    by_id = materialise(by_id.filter("not kept or rows > 1"), "gone-near")
     # The ids that go are the smaller side by far: few enough, Spark sends them instead of moving all texts.
-    gone = groups.groupBy(F.col("doc_id").alias("gone_id")).agg(F.bool_or("kept").alias("kept"))
-    gone = materialise(gone.filter("not kept").select("gone_id"), "gone-near")
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    gone = by_id.filter("not kept").select(F.col("doc_id").alias("gone_id"))
+    left = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    if by_id.filter("kept").isEmpty():
+        return left
+    code = free_name(docs, "text_code")
+    marked = left.withColumn(code, F.md5(text_of(text_col).cast("binary")))
+
+    def same(those: DataFrame) -> Column:
+        return marked[id_col].cast("long").eqNullSafe(those["that_id"]) & (marked[code] == those["that_code"])
+
+    named = decided.withColumnsRenamed({"doc_id": "that_id", "text_code": "that_code"})
+    out = named.filter("not kept").select("that_id", "that_code")
+    again = named.filter("kept and rows > 1 and n_shingles > 0").select("that_id", "that_code")
+    stay = marked.join(out, same(out), "left_anti")
+    if again.isEmpty():
+        return stay.drop(code)
+    single = stay.join(again, same(again), "left_anti")
+    return single.unionByName(stay.join(again, same(again), "left_semi").dropDuplicates([id_col, code])).drop(code)

@@ -74,6 +74,33 @@ def oracles() -> dict[str, str]:
                    min(r.other) = r.one AS kept
             FROM reach r LEFT JOIN counted c ON c.one = r.one GROUP BY r.one
         """,
+        "op10_minhash_near_dedup": r"""
+            WITH RECURSIVE t AS (
+                SELECT doc_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+'
+                ) AS w FROM documents
+            ), s AS MATERIALIZED (
+                SELECT DISTINCT doc_id, shingle FROM (
+                    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS shingle
+                    FROM t)
+            ), n AS MATERIALIZED (
+                SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+            ), met AS (
+                SELECT a.doc_id AS one, b.doc_id AS other, count(*) AS shared
+                FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+            ), links AS MATERIALIZED (
+                SELECT one, other FROM met JOIN n x ON x.doc_id = one JOIN n y ON y.doc_id = other
+                WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+            ), reach(one, other) AS (
+                SELECT doc_id, doc_id FROM documents
+                UNION
+                SELECT r.one, l.other FROM reach r JOIN links l ON r.other = l.one
+            )
+            SELECT r.one AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id,
+                   min(r.other) = r.one AS kept
+            FROM reach r LEFT JOIN n ON n.doc_id = r.one GROUP BY r.one
+        """,
         "op11_gnat_codes": gnat_codes(),
         "op12_hard_negatives": """
             WITH v AS (
