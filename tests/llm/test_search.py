@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from epigauge.llm import minhash, nndescent, suffixes
+from epigauge.llm import graph, minhash, nndescent, suffixes
 from epigauge.llm.graph import components
 
 
@@ -31,7 +31,9 @@ def roots(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("block", [500_000, 40])
+def test_components(spark, monkeypatch, block):
+    monkeypatch.setattr(graph, "BLOCK", block)
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 520)]
     links += [(1000, i) for i in range(1001, 1200)] + [(5, 5), (None, 3)]
@@ -253,6 +255,23 @@ def test_full_lists_do_not_hide_another_group(spark, descent):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (near[i].sum(), want[i]) for i in want}
 
 
+def test_lists_grow_until_the_other_group_stands_in_them(spark, monkeypatch):
+    """Without the last guard, and without the full comparison behind it."""
+
+    def refuse(*args):
+        raise AssertionError("the lists should have found it")
+
+    monkeypatch.setattr(nndescent, "bridges", lambda *args: None)
+    monkeypatch.setattr(nndescent, "whole", refuse)
+    x = two_groups()
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    data = [(i, [float(v) for v in row], 1, "n", 1, 2) for i, row in enumerate(two_groups())]
+    got = nndescent.near_vectors(spark.createDataFrame(data, VECTORS).repartition(3)).collect()
+    want = roots(range(len(x)), zip(*np.nonzero(near), strict=True))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (near[i].sum(), want[i]) for i in want}
+
+
 def test_a_large_clump_does_not_hide_small_ones_from_the_audit(spark):
     """All links of the clump are known, and none of the pairs."""
     rng = np.random.default_rng(9)
