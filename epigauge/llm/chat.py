@@ -199,8 +199,13 @@ def format_chats(
     return dealt.select("conv_id", "role", "text").mapInArrow(render, schema)
 
 
+def in_order(formatted: DataFrame) -> DataFrame:
+    """Parts as :func:`format_chats` leaves them, of a table that was written: files may hold them in any order."""
+    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+
+
 def read_back(formatted: DataFrame, template: Template | None = None) -> DataFrame:
-    """Digests per conversation, read from the rendered parts alone (as :func:`format_chats` leaves them)."""
+    """Digests per conversation, read from the rendered parts alone (as :func:`format_chats` leaves them, or :func:`in_order`)."""
     template = template or Template()
     schema = (
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
