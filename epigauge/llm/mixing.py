@@ -13,7 +13,7 @@ from epigauge.session import materialise
 
 #: Newton stops when every source's expected words are this close to its target, relatively.
 CLOSE = 1e-7
-STEPS = 60
+STEPS = 200
 #: Most moves per source that bring the rounded words closer to the target; each leaves less than it met.
 MOVES = 8
 
@@ -67,7 +67,7 @@ def balance(hist: DataFrame, goals: dict[str | None, float], sums: dict[str | No
     place = {k: i for i, k in enumerate(names)}
     for _ in range(STEPS):
         state = frame().withColumnRenamed("source", "tilted")
-        now = hist.join(F.broadcast(state), F.col("source").eqNullSafe(F.col("tilted")))  # a row per source
+        now = hist.join(state, F.col("source").eqNullSafe(F.col("tilted")))  # a row per source: sent if they are few
         r = rate(F.col("tilt"), F.col("size"), F.col("scale"), cap)
         words = F.col("n") * F.col("size")
         slope = words * F.col("size") / F.col("scale") * r * (F.lit(1.0) - r / F.lit(float(cap)))
@@ -86,6 +86,9 @@ def balance(hist: DataFrame, goals: dict[str | None, float], sums: dict[str | No
             half = np.where(np.isinf(low), high - 2 * np.abs(high) - 1, np.where(np.isinf(high), low + 2 * np.abs(low) + 1, (low + high) / 2))
         inside = np.isfinite(step) & (step > low) & (step < high) & (np.abs(step - tilt) < 8 + np.abs(tilt))
         tilt = np.where(work, np.where(inside, step, half), tilt)
+    else:
+        far = [names[i] for i in np.flatnonzero(work)]
+        raise RuntimeError(f"the mix did not settle in {STEPS} steps for the sources {far[:10]}")
     return frame()
 
 
@@ -123,7 +126,7 @@ def mix(
         [(k, s[0], goals[k]) for k, s in sums.items()], "named string, source_size long, target double"
     )
     per_source = tilts.join(facts, F.col("tilted").eqNullSafe(F.col("named"))).drop("named")
-    rated = hist.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("tilted"))).drop("tilted")
+    rated = hist.join(per_source, F.col("source").eqNullSafe(F.col("tilted"))).drop("tilted")
     along = Window.partitionBy("source").orderBy("size")
     # Rates rounded to nine decimals: a last digit that differs between runs must not move a copy.
     due = F.round(F.col("n") * rate(F.col("tilt"), F.col("size"), F.col("scale"), cap), 5).cast("decimal(28,5)")
@@ -162,13 +165,13 @@ def nearer(rounded: DataFrame, cap: int) -> DataFrame:
         moves = spark.createDataFrame(rows, "to string, at long, move long")  # at most MOVES rows per source
         same = F.col("source").eqNullSafe(F.col("to")) & (F.col("size") == F.col("at"))
         more = F.col("made") + F.coalesce("move", F.lit(0).cast("long"))
-        return rounded.join(F.broadcast(moves), same, "left").withColumn("made", more).drop("to", "at", "move")
+        return rounded.join(moves, same, "left").withColumn("made", more).drop("to", "at", "move")
 
     for _ in range(MOVES):
         open_gaps = [(k, g) for k, g in gaps.items() if g]
         if not open_gaps:
             break
-        wanted = F.broadcast(spark.createDataFrame(open_gaps, "to string, gap long"))
+        wanted = spark.createDataFrame(open_gaps, "to string, gap long")
         now = applied().join(wanted, F.col("source").eqNullSafe(F.col("to")))
         room = F.when(F.col("gap") > 0, F.col("made") < cap * F.col("n")).otherwise(F.col("made") > 0)
         fit = now.filter((F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & room)
@@ -186,14 +189,58 @@ def nearer(rounded: DataFrame, cap: int) -> DataFrame:
     return applied()
 
 
-def resample(docs: DataFrame, id_col: str = "doc_id", **settings: object) -> DataFrame:
+def resample(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings: object
+) -> DataFrame:
     """Every row as often as the mix takes it, with all its columns.
 
-    Rows that share an id are taken equally often: as often as the one that is taken most.
+    Rows with an id of their own are matched by it. Rows that share one, or have none, are matched by source and size as well, and
+    numbered where they agree in all three: each source keeps to its target. Nulls, empty and very long texts, repeated rows and
+    empty tables as in :func:`mix`; columns of any name come through.
     """
-    plan = mix(docs, id_col=id_col, **settings).groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    plan = materialise(plan.filter("copies > 0"), "plan").withColumnsRenamed({"doc_id": "mixed_id", "copies": "mixed_copies"})
+    mixed = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    taken = materialise(mixed.select("doc_id", "source", "size", "copies"), "taken")
+    by_id = taken.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("copies").alias("copies"))
+    # Rows without a copy are left out here already, so that only what is taken moves.
+    by_id = materialise(by_id.filter("copies > 0").withColumnsRenamed({"doc_id": "mixed_id", "copies": "mixed_copies"}), "plan")
+    plan, shared = by_id.filter("rows = 1").drop("rows"), by_id.filter("rows > 1").select("mixed_id")
+    out = repeated(docs.join(plan, docs[id_col].eqNullSafe(plan["mixed_id"])), docs, plan["mixed_copies"])
+    if shared.isEmpty():
+        return out
+    source, size, row, place = (free_name(docs, name) for name in ("source_of", "size_of", "row_of", "place_of"))
+    apart = docs.join(shared, docs[id_col].eqNullSafe(shared["mixed_id"]), "left_semi")
+    words = F.regexp_count(text_of(text_col), F.lit(WORDS)).cast("long")
+    none, name, unnamed, named = (free_name(docs, c) for c in ("no_source", "source_name", "no_id", "id_name"))
+    keyed = apart.withColumns({source: F.col(source_col).cast("string"), size: words})
+    keyed = keyed.withColumns(
+        {
+            none: F.col(source).isNull(),
+            name: F.coalesce(source, F.lit("")),
+            unnamed: F.col(id_col).isNull(),
+            named: F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+        }
+    )
+    group = [none, name, unnamed, named, size]
+    keyed = materialise(keyed.withColumn(row, F.monotonically_increasing_id()), "shared-ids")
+    sums = taken.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("mixed_copies"))
+    sums = sums.select(
+        F.col("source").isNull().alias(none),
+        F.coalesce("source", F.lit("")).alias(name),
+        F.col("doc_id").isNull().alias(unnamed),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(named),
+        F.col("size").alias(size),
+        F.col("n").alias("mixed_rows"),
+        "mixed_copies",
+    )
+    placed = number_within(keyed, group, [row], place, keyed.count(), attach=sums)
+    copies = F.floor(F.col("mixed_copies") / F.col("mixed_rows")).cast("long")
+    copies = copies + (F.col(place) < F.col("mixed_copies") % F.col("mixed_rows")).cast("long")
+    rest = placed.withColumn("mixed_copies", copies).filter("mixed_copies > 0")
+    return out.unionByName(repeated(rest, rest, rest["mixed_copies"]).select(*docs.columns))
+
+
+def repeated(rows: DataFrame, docs: DataFrame, copies: Column) -> DataFrame:
+    """The columns of ``docs``, each row ``copies`` times."""
     time = free_name(docs, "time")
-    met = docs.join(plan, docs[id_col].eqNullSafe(plan["mixed_id"]))
-    every = F.explode(F.sequence(F.lit(1).cast("long"), plan["mixed_copies"])).alias(time)
-    return met.select(*(docs[c] for c in docs.columns), every).drop(time)
+    every = F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(time)
+    return rows.select(*(docs[c] for c in docs.columns), every).drop(time)
