@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from epigauge.llm.common import text_of
 from epigauge.llm.minhash import Shingler, scrambled
-from epigauge.llm.nndescent import runs
 from epigauge.session import materialise
 
 #: Residues modulo PERIOD such that any two positions reach the cover by a common step below PERIOD (fixed values).
@@ -154,33 +153,59 @@ class Anchors:
 
 
 def count_anchors(texts: DataFrame, repeats: Repeats, buckets: int) -> DataFrame:
-    """``code, places`` (with a sign for hot ones): the anchors of each text that occur elsewhere too.
+    """``code, places``: the anchors of each text that occur elsewhere too; and for a null code, hot names instead of places.
 
-    Anchors go to their buckets as packed arrays: 20 bytes for about 35 bytes of text. Copies of a text have the
-    same code and places, so they count once.
+    Anchors go to their buckets as packed arrays: 24 bytes for about 35 bytes of text. Names are combined before that: one
+    that occurs several times in a batch of texts sends one record with its number, and its other records need no
+    answer, so a bucket holds one record a name and batch. Copies of a text have the same code and places and count once.
     """
-    record = np.dtype([("key", "<u8"), ("code", "<i8"), ("place", "<u4")])
+    record = np.dtype([("key", "<u8"), ("code", "<i8"), ("place", "<u4"), ("times", "<u4")])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors(repeats)
+        anchors, seen = Anchors(repeats), set()
         for rows in batches:
-            found, seen = [], set()
+            found = []
             for code, text in zip(rows.column("code").to_pylist(), rows.column("text"), strict=True):
                 if code in seen:
                     continue
                 seen.add(code)
                 key, place, _, _ = anchors.of(text.as_py().encode())
                 part = np.empty(len(key), record)
-                part["key"], part["code"], part["place"] = key, code, place
+                part["key"], part["code"], part["place"], part["times"] = key, code, place, 1
                 found.append(part)
-            every = np.concatenate(found) if found else np.empty(0, record)
-            bucket = (every["key"] >> np.uint64(16)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            every, bucket = every[order], bucket[order]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
-            used = np.flatnonzero(np.diff(edges))
-            blobs = [every[edges[b] : edges[b + 1]].tobytes() for b in used]
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "records"])
+            if not found:
+                continue
+            every = np.concatenate(found)
+            every = every[np.argsort(every["key"], kind="stable")]
+            first = np.flatnonzero(np.concatenate(([True], every["key"][1:] != every["key"][:-1]))) if len(every) else np.zeros(0, int)
+            times = np.diff(np.append(first, len(every)))
+            told = every[first]
+            told["times"] = times
+            several = np.repeat(times > 1, times)
+            dealt = []
+            for known, part, by in ((False, told, told["key"] >> np.uint64(16)), (True, every[several], every["code"][several].view(np.uint64))):
+                bucket = by % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                part, bucket = part[order], bucket[order]
+                edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+                dealt += [(b, known, part[edges[b] : edges[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(edges)).tolist()]
+            columns = list(zip(*dealt, strict=True)) or [[], [], []]
+            kinds = (pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "known", "records"])
+
+    def by_text(every: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+        code, place = every["code"], every["place"].astype(np.int64)
+        order = np.argsort(code, kind="stable")
+        code, place = code[order], place[order]
+        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
+        ends = np.append(first, len(code))
+        codes = pa.array(code[first], pa.int64())
+        if len(hot):
+            ends = np.append(ends, len(code) + len(hot))
+            place = np.concatenate((place, hot.view(np.int64)))
+            codes = pa.concat_arrays([codes, pa.array([None], pa.int64())])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int64()))
+        return pa.RecordBatch.from_arrays([codes, lists], ["code", "places"])
 
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
@@ -189,37 +214,35 @@ def count_anchors(texts: DataFrame, repeats: Repeats, buckets: int) -> DataFrame
         def result() -> pa.RecordBatch:
             every = np.concatenate([np.frombuffer(h, record) for h in held])
             every = every[np.lexsort((every["place"], every["code"], every["key"]))]
+            # Copies of a text that other tasks held: the same record, told once.
             again = np.zeros(len(every), bool)
-            again[1:] = every[1:] == every[:-1]
+            again[1:] = (every[1:][["key", "code", "place"]] == every[:-1][["key", "code", "place"]]) & (every["times"][1:] == 1) & (every["times"][:-1] == 1)
             every = every[~again]
             new = np.ones(len(every), bool)
             new[1:] = every["key"][1:] != every["key"][:-1]
-            group = np.cumsum(new) - 1
-            times = np.bincount(group)[group] if len(group) else group
-            several = times > 1
-            place = every["place"].astype(np.int64)
-            place = np.where(times > repeats.hot, -place - 1, place)[several]
-            code = every["code"][several]
-            order = np.argsort(code, kind="stable")
-            code, place = code[order], place[order]
-            first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else code
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(code)), pa.int32()), pa.array(place, pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(code[first], pa.int64()), lists], ["code", "places"])
+            first = np.flatnonzero(new)
+            times = np.add.reduceat(every["times"].astype(np.int64), first)
+            each = np.repeat(times, np.diff(np.append(first, len(every))))
+            # Those with several in their batch have been answered there.
+            return by_text(every[(each > 1) & (every["times"] == 1)], every["key"][first[times > repeats.hot]])
 
         for rows in batches:
-            for b, records in zip(rows.column("bucket").to_pylist(), rows.column("records").to_pylist(), strict=True):
+            columns = (rows.column(c).to_pylist() for c in ("bucket", "known", "records"))
+            for b, known, records in zip(*columns, strict=True):
                 if held and b != bucket:
                     yield result()
                     held.clear()
                 bucket = b
-                held.append(records)
+                if known:
+                    yield by_text(np.frombuffer(records, record), np.zeros(0, np.uint64))
+                else:
+                    held.append(records)
         if held:
             yield result()
 
-    sent = texts.select("code", "text").mapInArrow(send, "bucket long, records binary")
+    sent = texts.select("code", "text").mapInArrow(send, "bucket long, known boolean, records binary")
     met = sent.repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    found = met.mapInArrow(reply, "code long, places array<long>")
-    return found.groupBy("code").agg(F.flatten(F.collect_list("places")).alias("places"))
+    return met.mapInArrow(reply, "code long, places array<long>")
 
 
 def windows_of(candidates: DataFrame, repeats: Repeats) -> DataFrame:
@@ -311,35 +334,39 @@ def sort_blocks(pieces: DataFrame, repeats: Repeats) -> DataFrame:
     return dealt.mapInArrow(find, SPANS)
 
 
-def hot_windows(candidates: DataFrame, repeats: Repeats) -> DataFrame:
-    """The same for anchors that occur very often: every window goes by its own digest.
+def hot_windows(pieces: DataFrame, repeats: Repeats) -> DataFrame:
+    """The same for names that occur very often: their windows are dealt out one by one, by their bytes.
 
     Equal windows of one batch are settled there; only the first of them meets those of other batches.
     """
-    hot = candidates.withColumn("places", F.transform(F.filter("places", lambda p: p < 0), lambda p: -p - 1))
-    pieces = windows_of(hot.filter(F.size("places") > 0), repeats)
     width = repeats.width
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            digests, nodes, starts = [], [], []
-            for node, start, piece in zip(*(rows.column(c).to_pylist() for c in ("node", "start", "piece")), strict=True):
-                many = len(piece) - width + 1
-                digests += [hashlib.blake2b(piece[i : i + width], digest_size=16).digest() for i in range(many)]
-                nodes += [node] * many
-                starts += range(start, start + many)
-            halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
-            node, start = np.array(nodes, np.int64), np.array(starts, np.int64)
-            order = np.lexsort((start, node, halves[:, 1], halves[:, 0]))
+            if not rows.num_rows:
+                continue
+            texts = rows.column("piece").to_pylist()
+            many = np.array([len(t) - width + 1 for t in texts])
+            raw = np.frombuffer(b"".join(texts), np.uint8)
+            begin = np.repeat(np.cumsum([0, *map(len, texts[:-1])]), many)
+            within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            # Two windows of one length are equal as padded strings only if all their bytes are.
+            windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(raw, width)[begin + within]).view(f"S{width}").ravel()
+            node = np.repeat(rows.column("node").to_numpy(), many)
+            start = np.repeat(rows.column("start").to_numpy(), many) + within
+            order = np.lexsort((start, node, windows))
+            windows, node, start = windows[order], node[order], start[order]
             again = np.zeros(len(order), bool)
-            again[1:] = (halves[order[1:]] == halves[order[:-1]]).all(axis=1)
-            columns = [pa.array([digests[i] for i in order], pa.binary()), pa.array(node[order]), pa.array(start[order]), pa.array(again)]
-            yield pa.RecordBatch.from_arrays(columns, ["digest", "node", "start", "again"])
+            again[1:] = windows[1:] == windows[:-1]
+            raw = windows.tobytes()
+            values = [raw[i : i + width] for i in range(0, len(raw), width)]
+            columns = [pa.array(values, pa.binary()), pa.array(node), pa.array(start), pa.array(again)]
+            yield pa.RecordBatch.from_arrays(columns, ["window", "node", "start", "again"])
 
-    windows = materialise(pieces.mapInArrow(deal, "digest binary, node long, start long, again boolean"), "hot-windows")
+    windows = materialise(pieces.select("node", "start", "piece").mapInArrow(deal, "window binary, node long, start long, again boolean"), "hot-windows")
     left = windows.filter("not again")
-    first = materialise(left.groupBy("digest").agg(F.min(F.struct("node", "start")).alias("first")), "hot-firsts")
-    met = left.join(first, "digest").filter((F.col("node") != F.col("first.node")) | (F.col("start") != F.col("first.start")))
+    first = materialise(left.groupBy("window").agg(F.min(F.struct("node", "start")).alias("first")), "hot-firsts")
+    met = left.join(first, "window").filter((F.col("node") != F.col("first.node")) | (F.col("start") != F.col("first.start")))
     gone = windows.filter("again").select("node", "start").unionByName(met.select("node", "start"))
     return gone.select("node", F.col("start").alias("lo"), (F.col("start") + width).alias("hi"))
 
@@ -393,15 +420,20 @@ def remove_repeats(docs: DataFrame, repeats: Repeats | None = None, id_col: str
     firsts = materialise(firsts, "firsts")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     long_texts = texts.filter(F.octet_length("text") >= repeats.width)
-    anchored = count_anchors(long_texts, repeats, int(total // repeats.bucket_bytes) + 1)
+    counted = materialise(count_anchors(long_texts, repeats, int(total // repeats.bucket_bytes) + 1), "anchors")
+    anchored = counted.filter("code is not null").groupBy("code").agg(F.flatten(F.collect_list("places")).alias("places"))
     wanted = firsts.join(anchored, "code").select("sha", "first_id", "node", "places").hint("shuffle_hash")
     found = long_texts.withColumnRenamed("sha", "own").join(
         wanted, (F.col("own") == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
     )
     candidates = materialise(found.select("node", "text", "places"), "candidates")
-    removed = sort_blocks(windows_of(candidates, repeats), repeats)
-    if not candidates.filter(F.exists("places", lambda p: p < 0)).isEmpty():
-        removed = removed.unionByName(hot_windows(candidates, repeats))
+    pieces = windows_of(candidates, repeats)
+    hot = counted.filter("code is null").select(F.explode("places").alias("key")).distinct()
+    if hot.isEmpty():
+        removed = sort_blocks(pieces, repeats)
+    else:
+        removed = sort_blocks(pieces.join(hot, "key", "left_anti"), repeats)
+        removed = removed.unionByName(hot_windows(pieces.join(hot, "key", "left_semi"), repeats))
     cut = cut_out(candidates.dropDuplicates(["node"]) if repeated(rows) else candidates, removed)
     cut = cut.withColumn("cut_sha", F.sha2("kept", 256))
     facts = firsts.join(cut, "node", "left").select("sha", "first_id", "n_removed", "n_spans", "cut_sha", "kept")
