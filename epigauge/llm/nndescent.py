@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +19,16 @@ from epigauge.session import materialise
 class Descent:
     """``cosine`` that links two vectors, and how the search goes about it.
 
-    ``neighbours`` is the length of a list, ``orders`` the number of random orders that fill the first
-    lists from runs of ``run`` vectors, ``steps`` the refinements before an audit. The audit takes
+    ``neighbours`` is the length of a list, ``longest`` that to which a list grows that is full of links, ``growth``
+    times as long at a step, ``orders`` the number of random orders that fill the first lists from runs of ``run`` vectors, ``steps`` the refinements before an audit. The audit takes
     ``audited`` vectors; below ``recall`` the search goes on with new orders, at most ``rounds`` times.
     ``block`` vectors of a clump are compared at once.
     """
 
     cosine: float = 0.93
     neighbours: int = 8
+    longest: int = 64
+    growth: int = 2
     orders: int = 6
     run: int = 64
     steps: int = 2
@@ -176,12 +178,47 @@ def first_lists(nodes: DataFrame, descent: Descent, turn: int) -> DataFrame:
     return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, EDGE)
 
 
-def best_lists(found: DataFrame, neighbours: int) -> DataFrame:
-    """The ``neighbours`` most similar of each vector; every find counts for both ends."""
+def best_lists(found: DataFrame, neighbours: int, grown: DataFrame | None = None) -> DataFrame:
+    """The ``neighbours`` most similar of each vector, of those in ``grown`` (node, longer) so many; every find counts for both ends."""
     both = found.unionByName(found.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim"))
     once = both.groupBy("u", "v").agg(F.max("sim").alias("sim"))
     place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
-    return once.withColumn("place", place).filter(F.col("place") <= neighbours).drop("place")
+    if grown is None:
+        return once.withColumn("place", place).filter(F.col("place") <= neighbours).drop("place")
+    usual = once.join(grown, once["u"] == grown["node"], "left_anti")
+    usual = usual.withColumn("place", place).filter(F.col("place") <= neighbours).drop("place")
+    longer = once.join(grown, once["u"] == grown["node"]).withColumn("place", place).filter("place <= longer")
+    return usual.unionByName(longer.select("u", "v", "sim"))
+
+
+def full_lists(lists: DataFrame, length: int, cosine: float) -> DataFrame:
+    """``node`` of the vectors whose lists hold ``length`` links or more and nothing else: there may be more."""
+    ends = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"))
+    return ends.filter((F.col("n") >= length) & (F.col("low") >= cosine - 1e-4)).select(F.col("u").alias("node"))
+
+
+def grown_lists(nodes: DataFrame, lists: DataFrame, grown: DataFrame | None, descent: Descent, turn: int) -> tuple[DataFrame, DataFrame | None]:
+    """Lists that are full of links, ``growth`` times as long until they are not, or as long as they may get.
+
+    A link is hidden only if the lists at both of its ends are full. So these vectors alone are put in new orders, in
+    longer runs, and meet their neighbours' neighbours.
+    """
+    length = descent.neighbours
+    while length < descent.longest:
+        full = materialise(full_lists(lists, length, descent.cosine), "full")
+        if full.isEmpty():
+            break
+        length = min(descent.growth * length, descent.longest)
+        longer = full.withColumn("longer", F.lit(length))
+        if grown is not None:
+            longer = longer.unionByName(grown.join(full, "node", "left_anti"))
+        grown = materialise(longer, "grown")
+        wide = replace(descent, neighbours=length, run=max(descent.run, 2 * length))
+        some = nodes.join(full, "node", "left_semi")
+        new = first_lists(some, wide, turn + 1_000 * length)
+        near = refined(nodes, lists.join(full, lists["u"] == full["node"], "left_semi"), wide, turn + length)
+        lists = materialise(best_lists(lists.unionByName(new).unionByName(near), descent.neighbours, grown), "lists")
+    return lists, grown
 
 
 def refined(nodes: DataFrame, lists: DataFrame, descent: Descent, turn: int) -> DataFrame:
@@ -238,14 +275,13 @@ def clumped(nodes: DataFrame, lists: DataFrame, descent: Descent) -> DataFrame:
 
 
 def bridges(nodes: DataFrame, lists: DataFrame, clumps: DataFrame, descent: Descent) -> DataFrame | None:
-    """``a, b``: a link for each two clumps that are linked between vectors whose lists are full of links.
+    """``a, b``: a link for each two clumps that are linked between vectors whose longest lists are full of links.
 
-    Such lists hide links to other clumps. A clump's full vectors are dealt into cells with a centre and a widest
+    The last guard: such lists may hide links to other clumps. A clump's full vectors are dealt into cells with a centre and a widest
     angle; two cells of different clumps whose angles leave room for a link are compared in full.
     """
     cosine, block = descent.cosine, descent.block
-    full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"))
-    full = full.filter((F.col("n") >= descent.neighbours) & (F.col("low") >= cosine - 1e-4)).select(F.col("u").alias("node"))
+    full = full_lists(lists, descent.longest, cosine)
     rows = clumps.join(full, "node").join(nodes.select("node", "block", "unit"), "node")
     rows = materialise(rows, "full")
     if rows.groupBy("block").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").isEmpty():
@@ -431,13 +467,14 @@ def near_vectors(
     nodes = one.select(F.monotonically_increasing_id().alias("node"), block, "*")
     nodes = materialise(nodes, "vectors")
     nodes = materialise(nodes.mapInArrow(narrowed, f"{nodes.schema.simpleString()[7:-1].replace(':', ' ')}, small binary"), "vectors")
-    found, recall = None, 0.0
+    found, grown, recall = None, None, 0.0
     for turn in range(descent.rounds):
         new = first_lists(nodes, descent, turn)
-        lists = materialise(best_lists(new if found is None else new.unionByName(found), descent.neighbours), "lists")
+        lists = materialise(best_lists(new if found is None else new.unionByName(found), descent.neighbours, grown), "lists")
         for step in range(descent.steps):
             better = refined(nodes, lists, descent, turn * descent.steps + step)
-            lists = materialise(best_lists(lists.unionByName(better), descent.neighbours), "lists")
+            lists = materialise(best_lists(lists.unionByName(better), descent.neighbours, grown), "lists")
+        lists, grown = grown_lists(nodes, lists, grown, descent, turn)
         found = lists
         clumps = clumped(nodes, lists, descent)
         counts, ties = linked(nodes, clumps, descent)
