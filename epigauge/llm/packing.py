@@ -39,11 +39,14 @@ class Vocabulary:
         kept = sys.modules.setdefault("_epigauge_encoders", types.ModuleType("_epigauge_encoders")).__dict__
         if self in kept.setdefault("made", {}):
             return kept["made"][self]
-        from tokenizers import Tokenizer
-
-        slow = Tokenizer.from_file(self.tokenizer)
+        slow = None
 
         def by_tokenizer(text: str) -> np.ndarray:
+            nonlocal slow
+            if slow is None:  # few texts need it, and it is large
+                from tokenizers import Tokenizer
+
+                slow = Tokenizer.from_file(self.tokenizer)
             return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
 
         encode = by_tokenizer
@@ -59,8 +62,10 @@ class Vocabulary:
                     return by_tokenizer(text)
                 try:
                     return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), "<u4")
-                except Exception:  # the pattern gives up on very long blank runs
-                    return by_tokenizer(text)
+                except ValueError as error:
+                    if "backtrack" not in str(error).lower():
+                        raise
+                    return by_tokenizer(text)  # the pattern gives up on very long blank runs
 
         kept["made"][self] = encode
         return encode
