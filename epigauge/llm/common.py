@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,22 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def finite_rows(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The vectors of a column of lists of doubles that hold numbers only: per length, places in the column and a matrix.
+
+    Null vectors and those with a null, NaN or infinite component are left out.
+    """
+    values = column.values.to_numpy(zero_copy_only=False)  # a null is NaN here
+    starts, lengths = column.offsets.to_numpy()[:-1], np.diff(column.offsets.to_numpy())
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    for width in np.unique(lengths[there]).tolist():
+        at = np.flatnonzero(there & (lengths == width))
+        x = values[starts[at][:, None] + np.arange(width)].astype(np.float64)
+        whole = np.isfinite(x).all(axis=1)
+        if whole.any():
+            yield at[whole], x[whole]
+
+
 def number_within(
     df: DataFrame,
     group: Sequence[str],

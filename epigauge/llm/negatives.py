@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from epigauge.llm.common import finite_rows
 from epigauge.session import materialise
 
 #: Squared length of an integer vector from which on inner products would not be exact any more.
@@ -139,33 +140,21 @@ def prepared(vectors: DataFrame, mining: Mining, id_col: str, label_col: str, ve
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["vec_id", "label", "ints", "code", "along", "rest"]
         for rows in batches:
-            kept: dict[int, list[tuple[int, np.ndarray]]] = {}
-            for i, values in enumerate(rows.column("vector").to_pylist()):
-                if None in values:
-                    continue
-                x = np.array(values, np.float64)
-                if not np.isfinite(x).all():
-                    continue
+            for at, x in finite_rows(rows.column("vector")):
                 x = np.floor(x * mining.scale)
-                if x @ x >= TOO_LONG:
+                if (x * x).sum(axis=1).max() >= TOO_LONG:
                     raise ValueError("a vector is too long for exact scores: scale the components down")
-                kept.setdefault(len(x), []).append((i, x))
-            for found in kept.values():
-                x = np.stack([v for _, v in found])
                 signs, along, rest = encoded(x, mining.seed)
-                taken = rows.take(pa.array([i for i, _ in found]))
-                ints = [v.tobytes() for v in x.astype("<i8")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        taken.column("vec_id"),
-                        taken.column("label"),
-                        pa.array(ints, pa.binary()),
-                        pa.array([v.tobytes() for v in signs], pa.binary()),
-                        pa.array(along, pa.float64()),
-                        pa.array(rest, pa.float64()),
-                    ],
-                    names,
-                )
+                taken = rows.take(pa.array(at))
+                columns = [
+                    taken.column("vec_id"),
+                    taken.column("label"),
+                    pa.array([v.tobytes() for v in x.astype("<i8")], pa.binary()),
+                    pa.array([v.tobytes() for v in signs], pa.binary()),
+                    pa.array(along, pa.float64()),
+                    pa.array(rest, pa.float64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     chosen = vectors.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("vec_id"),

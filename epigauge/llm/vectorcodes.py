@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from epigauge.llm.common import finite_rows
 from epigauge.llm.nndescent import matrix
 from epigauge.session import materialise
 
@@ -51,7 +52,7 @@ class Node:
 class Gnat:
     """Nearest entries, ties to the lower index, without meeting all entries."""
 
-    def __init__(self, entries: np.ndarray, degree: int = 8, leaf: int = 12):
+    def __init__(self, entries: np.ndarray, degree: int = 16, leaf: int = 32):
         self.entries = entries.astype(np.float64)
         self.degree, self.leaf = degree, leaf
         self.root = self._build(np.arange(len(entries)))
@@ -118,25 +119,17 @@ def integers(vectors: DataFrame, scale: int, id_col: str, label_col: str, vector
 
     def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            kept, out = [], []
-            for i, values in enumerate(rows.column("vector").to_pylist()):
-                if values is None or None in values:
-                    continue
-                x = np.array(values, np.float64)
-                if not np.isfinite(x).all():
-                    continue
+            for at, x in finite_rows(rows.column("vector")):
                 x = np.floor(x * scale)
-                if x @ x >= TOO_LONG:
+                if (x * x).sum(axis=1).max() >= TOO_LONG:
                     raise ValueError("a vector is too long for exact distances: scale the components down")
-                kept.append(i)
-                out.append(x.astype("<i8").tobytes())
-            taken = rows.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column("vec_id"), taken.column("label"), pa.array(out, pa.binary())], ["vec_id", "label", "ints"])
+                taken, ints = rows.take(pa.array(at)), [v.tobytes() for v in x.astype("<i8")]
+                named = [taken.column("vec_id"), taken.column("label"), pa.array(ints, pa.binary())]
+                yield pa.RecordBatch.from_arrays(named, ["vec_id", "label", "ints"])
 
     vector = F.col(vector_col).cast("array<double>").alias("vector")
     chosen = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), vector)
-    kept = chosen.mapInArrow(floor, chosen.select("vec_id", "label", F.lit(b"").alias("ints")).schema)
-    return kept
+    return chosen.mapInArrow(floor, chosen.select("vec_id", "label", F.lit(b"").alias("ints")).schema)
 
 
 class Codebooks:
