@@ -330,7 +330,9 @@ def sort_blocks(pieces: DataFrame, repeats: Repeats) -> DataFrame:
         if held:
             yield spans(*repeated_in(held, repeats.width))
 
-    dealt = pieces.repartition("key").sortWithinPartitions("key", "node", "start")
+    # Dealt by another number than a join's key: a join by "key" below could stand in for this exchange, and a join may
+    # split its keys or read them as they were written. Here all rows of a key must meet in one task.
+    dealt = pieces.repartition(F.xxhash64("key")).sortWithinPartitions("key", "node", "start")
     return dealt.mapInArrow(find, SPANS)
 
 
@@ -432,6 +434,7 @@ def remove_repeats(docs: DataFrame, repeats: Repeats | None = None, id_col: str
     if hot.isEmpty():
         removed = sort_blocks(pieces, repeats)
     else:
+        hot = F.broadcast(hot)  # 8 bytes for over ``hot`` anchors each
         removed = sort_blocks(pieces.join(hot, "key", "left_anti"), repeats)
         removed = removed.unionByName(hot_windows(pieces.join(hot, "key", "left_semi"), repeats))
     cut = cut_out(candidates.dropDuplicates(["node"]) if repeated(rows) else candidates, removed)

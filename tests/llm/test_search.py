@@ -378,3 +378,30 @@ def test_repeated_passages(spark, repeats):
     got = suffixes.remove_repeats(docs, repeats)
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert Counter(map(tuple, got.select(*columns).collect())) == removed_plainly(rows)
+
+
+def test_hot_names_leave_the_others_together(spark):
+    """The join that takes hot names out used to turn into a broadcast, and the other names' rows stayed where they were read."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.files.maxPartitionBytes": "20k",
+        "spark.sql.files.openCostInBytes": "1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcde fghij\n") for _ in range(n))
+    common, passages = text(150), [text(300) for _ in range(60)]
+    rows = [(i, text(400) + common + text(400) + passages[i % 60] + text(400)) for i in range(240)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+        got = suffixes.remove_repeats(docs, suffixes.Repeats(hot=100))
+        columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert Counter(map(tuple, got.select(*columns).collect())) == removed_plainly(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
