@@ -428,7 +428,9 @@ def remove_repeats(docs: DataFrame, repeats: Repeats | None = None, id_col: str
     found = long_texts.withColumnRenamed("sha", "own").join(
         wanted, (F.col("own") == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
     )
-    candidates = materialise(found.select("node", "text", "places"), "candidates")
+    found = found.select("node", "text", "places")
+    # A row that stands there twice is one candidate, else it would meet its own windows.
+    candidates = materialise(found.dropDuplicates(["node"]) if repeated(rows) else found, "candidates")
     pieces = windows_of(candidates, repeats)
     hot = counted.filter("code is null").select(F.explode("places").alias("key")).distinct()
     if hot.isEmpty():
@@ -437,8 +439,7 @@ def remove_repeats(docs: DataFrame, repeats: Repeats | None = None, id_col: str
         hot = F.broadcast(hot)  # 8 bytes for over ``hot`` anchors each
         removed = sort_blocks(pieces.join(hot, "key", "left_anti"), repeats)
         removed = removed.unionByName(hot_windows(pieces.join(hot, "key", "left_semi"), repeats))
-    cut = cut_out(candidates.dropDuplicates(["node"]) if repeated(rows) else candidates, removed)
-    cut = cut.withColumn("cut_sha", F.sha2("kept", 256))
+    cut = cut_out(candidates, removed).withColumn("cut_sha", F.sha2("kept", 256))
     facts = firsts.join(cut, "node", "left").select("sha", "first_id", "n_removed", "n_spans", "cut_sha", "kept")
     again = F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy("n_bytes"))
     # One join with a row per text: the many copies of a text can be split over tasks.

@@ -405,3 +405,18 @@ def test_hot_names_leave_the_others_together(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("hot", [1, 20_000])
+def test_a_row_that_stands_twice_keeps_what_is_its_own(spark, hot):
+    rng = random.Random(13)
+    text = lambda n: "".join(rng.choice("abcdeé \n") for _ in range(n))
+    # Repeated anchors, too short to make a repeated window: nothing of the first rows stands elsewhere.
+    short, shared = text(60), text(300)
+    rows = [(i, text(200) + short + text(200)) for i in range(6)]
+    rows += [(7, text(200) + shared + text(100)), (8, text(200) + shared + text(100))]
+    rows = [r for r in rows for _ in range(3)] + [(None, text(200) + shared)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffixes.remove_repeats(docs, suffixes.Repeats(hot=hot))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(map(tuple, got.select(*columns).collect())) == removed_plainly(rows)
